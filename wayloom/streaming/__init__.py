@@ -1,0 +1 @@
+"""Nothing lives here: network splitting is a batch job from end to end."""

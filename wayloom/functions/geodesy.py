@@ -90,26 +90,48 @@ def _near_point(x1: Column, y1: Column, x2: Column, y2: Column, edge_m: Column,
 
 def inverse(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """``struct(metres, azimuth)`` from the first point to the second (Vincenty 1975)."""
-    turn = _one_turn(x2 - x1)
-    latitudes = F.struct(_reduced_latitude(y1).alias("u1"), _reduced_latitude(y2).alias("u2"))
+    reduced = F.struct(
+        F.radians(_one_turn(x2 - x1)).alias("lon"), _reduced_tan(y1).alias("t1"), _reduced_tan(y2).alias("t2")
+    )
 
-    def ends(u: Column) -> Column:
-        return F.struct(
-            F.radians(turn).alias("lon"),
-            (F.sin(u.u1) * F.sin(u.u2)).alias("ss"),
-            (F.sin(u.u1) * F.cos(u.u2)).alias("sc"),
-            (F.cos(u.u1) * F.sin(u.u2)).alias("cs"),
-            (F.cos(u.u1) * F.cos(u.u2)).alias("cc"),
-            F.cos(u.u2).alias("c2"),
+    def ends(r: Column) -> Column:
+        """Products of sines and cosines of both reduced latitudes."""
+        cc = 1.0 / F.sqrt((1.0 + r.t1 * r.t1) * (1.0 + r.t2 * r.t2))
+        return let(
+            F.struct(r.lon.alias("lon"), r.t1.alias("t1"), r.t2.alias("t2"), cc.alias("cc")),
+            lambda e: F.aggregate(F.sequence(F.lit(0), F.lit(INVERSE_STEPS)), start(e), lambda g, _: step(e, g), finish),
         )
 
-    def solve(e: Column) -> Column:
-        lam = F.aggregate(
-            F.sequence(F.lit(1), F.lit(INVERSE_STEPS)),
-            e.lon,
-            lambda lam, _: let(_great_circle(e, lam), lambda g: e.lon + _longitude_excess(g)),
+    def start(e: Column) -> Column:
+        zero = F.lit(0.0)
+        return _arc(e.lon, zero, zero, zero, zero, zero)
+
+    def step(e: Column, g: Column) -> Column:
+        """Arc on the auxiliary sphere for the current longitude, and a better longitude."""
+        across = F.sqrt(1.0 + e.t1 * e.t1) * e.cc * F.sin(g.lon)
+        along = e.cc * (e.t2 - e.t1 * F.cos(g.lon))
+        legs = F.struct(
+            across.alias("across"),
+            along.alias("along"),
+            F.hypot(across, along).alias("sin"),
+            (e.cc * (e.t1 * e.t2 + F.cos(g.lon))).alias("cos"),
         )
-        return let(lam, lambda final: let(_great_circle(e, final), finish))
+
+        def turn(q: Column) -> Column:
+            sin_alpha = F.coalesce(F.try_divide(e.cc * F.sin(g.lon), q.sin), F.lit(0.0))
+            return let(sin_alpha, lambda sa: measure(q, sa, 1.0 - sa * sa))
+
+        def measure(q: Column, sa: Column, c2: Column) -> Column:
+            cos_2m = q.cos - F.coalesce(F.try_divide(2.0 * e.t1 * e.t2 * e.cc, c2), F.lit(0.0))
+            return let(
+                cos_2m,
+                lambda m: _arc(
+                    e.lon + _longitude_excess(F.atan2(q.sin, q.cos), q.sin, q.cos, m, sa, c2),
+                    q.across, q.along, F.atan2(q.sin, q.cos), c2, m,
+                ),
+            )
+
+        return let(legs, turn)
 
     def finish(g: Column) -> Column:
         length = let(
@@ -118,57 +140,60 @@ def inverse(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
         )
         return F.struct(length.alias("metres"), F.atan2(g.across, g.along).alias("azimuth"))
 
-    return let(let(latitudes, ends), solve)
+    return let(reduced, ends)
+
+
+def _arc(lon: Column, across: Column, along: Column, sigma: Column, cos2_alpha: Column, cos_2m: Column) -> Column:
+    return F.struct(
+        lon.alias("lon"),
+        across.alias("across"),
+        along.alias("along"),
+        sigma.alias("sigma"),
+        cos2_alpha.alias("cos2_alpha"),
+        cos_2m.alias("cos_2m"),
+    )
 
 
 def point_along(x1: Column, y1: Column, azimuth: Column, metres: Column) -> Column:
     """``struct(x, y)`` reached from a point along an azimuth (Vincenty 1975, direct)."""
-    given = F.struct(_reduced_latitude(y1).alias("u"), azimuth.alias("az"), metres.alias("metres"))
+    given = F.struct(_reduced_tan(y1).alias("t"), azimuth.alias("az"), metres.alias("metres"))
 
     def start(g: Column) -> Column:
         return F.struct(
-            F.sin(g.u).alias("s1"),
-            F.cos(g.u).alias("c1"),
+            (g.t / F.sqrt(1.0 + g.t * g.t)).alias("s1"),
+            (1.0 / F.sqrt(1.0 + g.t * g.t)).alias("c1"),
             F.sin(g.az).alias("sin_az"),
             F.cos(g.az).alias("cos_az"),
-            F.atan2(F.tan(g.u), F.cos(g.az)).alias("sigma1"),
-            (F.cos(g.u) * F.sin(g.az)).alias("sin_alpha"),
+            F.atan2(g.t, F.cos(g.az)).alias("sigma1"),
+            (F.sin(g.az) / F.sqrt(1.0 + g.t * g.t)).alias("sin_alpha"),
             g.metres.alias("metres"),
         )
 
     def solve(p: Column) -> Column:
-        return let(1.0 - p.sin_alpha * p.sin_alpha, lambda c: let(_series(c * SECOND_ECCENTRICITY2), lambda s: walk(p, s, c)))
-
-    def walk(p: Column, s: Column, cos2_alpha: Column) -> Column:
-        def refine(first: Column) -> Column:
-            return F.aggregate(
-                F.sequence(F.lit(1), F.lit(DIRECT_STEPS)),
-                first,
-                lambda sg, _: first + _arc_correction(s.b, sg, F.cos(2.0 * p.sigma1 + sg)),
-            )
-
-        sigma = let(let(p.metres / (SEMI_MINOR_M * s.a), refine), lambda sg: arc(p, sg, cos2_alpha))
-        return let(sigma, lambda g: arrive(p, g))
-
-    def arc(p: Column, sg: Column, cos2_alpha: Column) -> Column:
-        return F.struct(
-            sg.alias("sigma"),
-            F.sin(sg).alias("sin_sigma"),
-            F.cos(sg).alias("cos_sigma"),
-            p.sin_alpha.alias("sin_alpha"),
-            cos2_alpha.alias("cos2_alpha"),
-            F.cos(2.0 * p.sigma1 + sg).alias("cos_2m"),
+        cos2_alpha = 1.0 - p.sin_alpha * p.sin_alpha
+        return let(_series(cos2_alpha * SECOND_ECCENTRICITY2), lambda s: walk(p, s))
+
+    def walk(p: Column, s: Column) -> Column:
+        first = p.metres / (SEMI_MINOR_M * s.a)
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(DIRECT_STEPS)),
+            first,
+            lambda sg, _: first + _arc_correction(s.b, sg, F.cos(2.0 * p.sigma1 + sg)),
+            lambda sg: arrive(p, sg),
         )
 
-    def arrive(p: Column, g: Column) -> Column:
-        ahead = p.s1 * g.sin_sigma - p.c1 * g.cos_sigma * p.cos_az
+    def arrive(p: Column, sg: Column) -> Column:
+        ahead = p.s1 * F.sin(sg) - p.c1 * F.cos(sg) * p.cos_az
         lat = F.atan2(
-            p.s1 * g.cos_sigma + p.c1 * g.sin_sigma * p.cos_az,
-            (1 - FLATTENING) * F.hypot(p.sin_alpha, ahead),
+            p.s1 * F.cos(sg) + p.c1 * F.sin(sg) * p.cos_az, (1 - FLATTENING) * F.hypot(p.sin_alpha, ahead)
+        )
+        lam = F.atan2(F.sin(sg) * p.sin_az, p.c1 * F.cos(sg) - p.s1 * F.sin(sg) * p.cos_az)
+        excess = _longitude_excess(
+            sg, F.sin(sg), F.cos(sg), F.cos(2.0 * p.sigma1 + sg), p.sin_alpha, 1.0 - p.sin_alpha * p.sin_alpha
+        )
+        return let(
+            x1 + F.degrees(lam - excess), lambda x: F.struct(_one_turn(x).alias("x"), F.degrees(lat).alias("y"))
         )
-        lam = F.atan2(g.sin_sigma * p.sin_az, p.c1 * g.cos_sigma - p.s1 * g.sin_sigma * p.cos_az)
-        lon = x1 + F.degrees(lam - _longitude_excess(g))
-        return let(lon, lambda x: F.struct(_one_turn(x).alias("x"), F.degrees(lat).alias("y")))
 
     return let(let(given, start), solve)
 
@@ -177,75 +202,27 @@ def _one_turn(lon: Column) -> Column:
     return F.when(lon > 180.0, lon - 360.0).when(lon < -180.0, lon + 360.0).otherwise(lon)
 
 
-def _reduced_latitude(lat: Column) -> Column:
-    return F.atan((1 - FLATTENING) * F.tan(F.radians(lat)))
+def _reduced_tan(lat: Column) -> Column:
+    return (1 - FLATTENING) * F.tan(F.radians(lat))
 
 
-def _great_circle(e: Column, lam: Column) -> Column:
-    """Arc between two reduced latitudes ``lam`` apart on the auxiliary sphere."""
-
-    def legs(t: Column) -> Column:
-        across, along = e.c2 * t.sin, e.cs - e.sc * t.cos
-        return F.struct(
-            across.alias("across"),
-            along.alias("along"),
-            F.hypot(across, along).alias("sin_sigma"),
-            (e.ss + e.cc * t.cos).alias("cos_sigma"),
-            (e.cc * t.sin).alias("sin_scaled"),
-        )
-
-    def arc(g: Column) -> Column:
-        sin_alpha = F.coalesce(F.try_divide(g.sin_scaled, g.sin_sigma), F.lit(0.0))
-        return let(
-            sin_alpha,
-            lambda sa: F.struct(
-                g.across.alias("across"),
-                g.along.alias("along"),
-                F.atan2(g.sin_sigma, g.cos_sigma).alias("sigma"),
-                g.sin_sigma.alias("sin_sigma"),
-                g.cos_sigma.alias("cos_sigma"),
-                sa.alias("sin_alpha"),
-                (1.0 - sa * sa).alias("cos2_alpha"),
-                (g.cos_sigma - F.coalesce(F.try_divide(2.0 * e.ss, 1.0 - sa * sa), F.lit(0.0))).alias("cos_2m"),
-            ),
-        )
-
-    return let(let(F.struct(F.sin(lam).alias("sin"), F.cos(lam).alias("cos")), legs), arc)
-
-
-def _longitude_excess(g: Column) -> Column:
-    c = FLATTENING / 16.0 * g.cos2_alpha * (4.0 + FLATTENING * (4.0 - 3.0 * g.cos2_alpha))
-    return let(
-        c,
-        lambda k: (1.0 - k)
-        * FLATTENING
-        * g.sin_alpha
-        * (g.sigma + k * g.sin_sigma * (g.cos_2m + k * g.cos_sigma * (2.0 * g.cos_2m * g.cos_2m - 1.0))),
-    )
+def _longitude_excess(
+    sigma: Column, sin_sigma: Column, cos_sigma: Column, cos_2m: Column, sin_alpha: Column, cos2_alpha: Column
+) -> Column:
+    c = FLATTENING / 16.0 * cos2_alpha * (4.0 + FLATTENING * (4.0 - 3.0 * cos2_alpha))
+    wave = cos_2m + c * cos_sigma * (2.0 * cos_2m * cos_2m - 1.0)
+    return (1.0 - c) * FLATTENING * sin_alpha * (sigma + c * sin_sigma * wave)
 
 
 def _series(u2: Column) -> Column:
-    return let(
-        u2,
-        lambda u: F.struct(
-            (1.0 + u / 16384.0 * (4096.0 + u * (u * (320.0 - 175.0 * u) - 768.0))).alias("a"),
-            (u / 1024.0 * (256.0 + u * (u * (74.0 - 47.0 * u) - 128.0))).alias("b"),
-        ),
+    """Length factors of an arc, in powers of ``u2``."""
+    return F.struct(
+        (1.0 + u2 / 16384.0 * (4096.0 + u2 * (u2 * (320.0 - 175.0 * u2) - 768.0))).alias("a"),
+        (u2 / 1024.0 * (256.0 + u2 * (u2 * (74.0 - 47.0 * u2) - 128.0))).alias("b"),
     )
 
 
 def _arc_correction(b: Column, sigma: Column, cos_2m: Column) -> Column:
-    return let(
-        F.struct(F.sin(sigma).alias("s"), F.cos(sigma).alias("c"), cos_2m.alias("m")),
-        lambda t: b
-        * t.s
-        * (
-            t.m
-            + b
-            / 4.0
-            * (
-                t.c * (2.0 * t.m * t.m - 1.0)
-                - b / 6.0 * t.m * (4.0 * t.s * t.s - 3.0) * (4.0 * t.m * t.m - 3.0)
-            )
-        ),
-    )
+    m2 = cos_2m * cos_2m
+    tail = cos_2m * (4.0 * F.sin(sigma) * F.sin(sigma) - 3.0) * (4.0 * m2 - 3.0)
+    return b * F.sin(sigma) * (cos_2m + b / 4.0 * (F.cos(sigma) * (2.0 * m2 - 1.0) - b / 6.0 * tail))

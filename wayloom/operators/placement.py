@@ -98,42 +98,61 @@ def place_connectors(measured: DataFrame) -> DataFrame:
 
 
 def _walk_edges(left_over: Column, coords: Column, at: Column, total: Column) -> Column:
-    def on_edge(c: Column, j: Column) -> Column:
-        a, b, p = pick(coords, j), pick(coords, j + 1), c.connector_geometry
-        detour = distance(a.x, a.y, p.x, p.y) + distance(b.x, b.y, p.x, p.y) - distance(a.x, a.y, b.x, b.y)
-        return F.abs(detour) < ON_EDGE_M
-
-    def place(acc: Column, c: Column, j: Column) -> Column:
-        a, b, p = pick(coords, j), pick(coords, j + 1), c.connector_geometry
-        along = distance(a.x, a.y, p.x, p.y)
-        at_far_end = along == distance(a.x, a.y, b.x, b.y)
-        metres = pick(at, j) + along
-        point = _point(
-            c.connector_id, p, F.try_divide(metres, total), metres, F.when(at_far_end, j + 1).otherwise(j), False
+    def triangle(c: Column, j: Column) -> Column:
+        """Metres from both ends of an edge to a connector, and along the edge."""
+        legs = F.array(
+            _leg(pick(coords, j), c.connector_geometry),
+            _leg(pick(coords, j + 1), c.connector_geometry),
+            _leg(pick(coords, j), pick(coords, j + 1)),
         )
-        return _progress(j, acc.lost, F.array_append(acc.points, point))
+        return F.transform(legs, lambda s: distance(s.x1, s.y1, s.x2, s.y2))
+
+    def hit(c: Column, j: Column) -> Column:
+        metres = triangle(c, j)
+        return let(
+            metres,
+            lambda d: F.when(
+                F.abs(pick(d, 0) + pick(d, 1) - pick(d, 2)) < ON_EDGE_M,
+                F.struct(
+                    j.alias("edge"),
+                    (pick(at, j) + pick(d, 0)).alias("metres"),
+                    F.when(pick(d, 0) == pick(d, 2), j + 1).otherwise(j).alias("vertex"),
+                ),
+            ),
+        )
+
+    def place(acc: Column, c: Column, h: Column) -> Column:
+        point = _point(c.connector_id, c.connector_geometry, F.try_divide(h.metres, total), h.metres, h.vertex, False)
+        return _progress(h.edge, acc.lost, F.array_append(acc.points, point))
 
     def seek(acc: Column, c: Column) -> Column:
         # Once one is lost, the ones behind it are lost as well.
         ahead = F.when(
             acc.lost == 0,
-            F.filter(F.transform(indices(F.size(coords) - 1 - acc.edge), lambda k: acc.edge + k), lambda j: on_edge(c, j)),
+            F.filter(
+                F.transform(indices(F.size(coords) - 1 - acc.edge), lambda k: hit(c, acc.edge + k)),
+                lambda h: h.isNotNull(),
+            ),
         )
         return let(
             pick(ahead, 0),
-            lambda j: F.when(j.isNull(), _progress(acc.edge, acc.lost + 1, acc.points)).otherwise(place(acc, c, j)),
+            lambda h: F.when(h.isNull(), _progress(acc.edge, acc.lost + 1, acc.points)).otherwise(place(acc, c, h)),
         )
 
     return F.aggregate(left_over, _progress(F.lit(0), F.lit(0), _no_points()), seek)
 
 
+def _leg(a: Column, b: Column) -> Column:
+    return F.struct(a.x.alias("x1"), a.y.alias("y1"), b.x.alias("x2"), b.y.alias("y2"))
+
+
 def _progress(edge: Column, lost: Column, points: Column) -> Column:
     return F.struct(edge.alias("edge"), lost.alias("lost"), points.alias("points"))
 
 
 def keep_outermost(placed: DataFrame) -> DataFrame:
     """For cutting at references only: first and last connector along the line."""
-    ordered = in_line_order(F.col("_placed"))
+    ordered = in_line_order(F.col("_all"))
     ends = let(
         ordered,
         lambda p: F.when(F.size(p) > 0, F.array(pick(p, 0), pick(p, F.size(p) - 1))).otherwise(p),

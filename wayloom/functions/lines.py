@@ -156,7 +156,7 @@ def is_self_intersecting(coords: Column) -> Column:
             let(block, lambda b: let(_blocks(c, edges, b), lambda bs: _any_pair(c, edges, bs))),
         ).otherwise(F.lit(False))
 
-    return let(without_repeats(coords), test)
+    return F.when(F.size(coords) > 2, let(without_repeats(coords), test)).otherwise(F.lit(False))
 
 
 def _blocks(c: Column, edges: Column, size: Column) -> Column:

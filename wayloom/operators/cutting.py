@@ -26,6 +26,7 @@ from wayloom.operators.references import (
     turn_references,
 )
 from wayloom.plans.config import DEFAULT_CONFIG, SplitConfig
+from wayloom.sources.feature_io import with_coordinates
 
 # Why a segment yields no pieces.
 NOT_A_LINE = "geometry is not a line"
@@ -84,6 +85,7 @@ def split_points(
     joined: DataFrame, lr_columns: list[str], config: SplitConfig = DEFAULT_CONFIG
 ) -> DataFrame:
     """Add ``_at``, ``_total``, ``_placed``, ``_unplaced`` and ``_points`` to joined segments."""
+    joined = with_coordinates(joined)
     df = placement.place_connectors(placement.measure(joined))
     if not config.split_at_connectors:
         df = placement.keep_outermost(df)
@@ -100,9 +102,10 @@ def split_segments(
 ) -> DataFrame:
     """One row per segment with its pieces, added connectors, lengths and failure, if any.
 
-    All work is inside the row: no shuffle, no Python worker. A failed segment keeps its
+    All work is native and inside the row, so nothing is shuffled. A failed segment keeps its
     row, with a reason and without pieces.
     """
+    joined = with_coordinates(joined)
     df = bind(split_points(joined, lr_columns, config), _cut=cut(F.col("_points"), F.col("geometry")))
     df = bind(df, _cut_m=F.aggregate("_cut", F.lit(0.0), lambda t, p: t + line_metres(p.geometry)))
     df = bind(df, error_message=_failure(df, lr_columns, config))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wayloom.functions.binding import bind, indices, pick, stretch
 from wayloom.functions.lines import edge_metres, running_totals
 from wayloom.operators.skew import ROWS_PER_TASK, salted_join
+from wayloom.sources.feature_io import coordinates
 
 
 def segments(features: DataFrame) -> DataFrame:
@@ -21,7 +22,7 @@ def connectors(features: DataFrame) -> DataFrame:
 def connector_positions(features: DataFrame) -> DataFrame:
     """``connector_id`` and its point, from the connector rows."""
     return connectors(features).select(
-        F.col("id").alias("connector_id"), pick(F.col("geometry"), 0).alias("connector_geometry")
+        F.col("id").alias("connector_id"), pick(coordinates(features), 0).alias("connector_geometry")
     )
 
 
@@ -64,7 +65,8 @@ def gather_pairs(pairs: DataFrame) -> DataFrame:
 def join_connectors(features: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Segments with ``joined_connectors``; those without connectors stay, with null.
 
-    Only ids and points travel to meet the connectors. The wide rows move once, by id.
+    Only ids and points travel to meet the connectors. The wide rows move once, by id, with
+    their geometry in the form it is stored in.
     """
     located = locate_pairs(connector_pairs(features), connector_positions(features), rows_per_task)
     gathered = gather_pairs(located).withColumnRenamed("segment_id", "id")

@@ -41,6 +41,14 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _junctions() -> Column:
+    """Both ends of a line and about every third vertex in between, with its number."""
+    return F.filter(
+        F.transform("items", lambda i, n: F.struct(n.alias("n"), i.alias("i"))),
+        lambda v: (v.n == 0) | (v.n == F.size("items") - 1) | (v.i.l_partkey % 3 == 0),
+    )
+
+
 def line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments with geometry, connectors and one linearly referenced column, ``rules``."""
     geometry = F.transform(
@@ -49,12 +57,8 @@ def line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = bind(lines(spark, sf_dir), geometry=geometry)
     df = bind(df, _at=running_metres(F.col("geometry")))
     total = F.element_at("_at", -1)
-    junctions = F.filter(
-        F.transform("items", lambda i, n: F.struct(n.alias("n"), i.alias("i"))),
-        lambda v: (v.n == 0) | (v.n == F.size("items") - 1) | (v.i.l_partkey % 3 == 0),
-    )
     connectors = F.transform(
-        junctions,
+        _junctions(),
         lambda v: F.struct(
             _name(v.i.l_suppkey).alias("connector_id"), F.try_divide(pick(F.col("_at"), v.n), total).alias("at")
         ),
@@ -89,12 +93,13 @@ def connector_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def turns(segments: DataFrame) -> DataFrame:
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``seg`` with ``prohibited_transitions`` and ``destinations`` onto the next two roads.
 
     Roads are neighbours by number, so each join is one to one.
     """
-    nodes = segments.select("seg", F.transform("connectors", lambda c: c.connector_id).alias("nodes"))
+    names = F.transform(_junctions(), lambda v: _name(v.i.l_suppkey))
+    nodes = lines(spark, sf_dir).select("seg", names.alias("nodes"))
 
     def ahead(step: int) -> DataFrame:
         return nodes.select((F.col("seg") - step).alias("seg"), F.col("nodes").alias(f"nodes{step}"))
@@ -133,5 +138,5 @@ def features(spark: SparkSession, sf_dir: str, references: bool = False) -> Data
     """The feature table; with ``references`` segments carry turns and destinations."""
     segments = line_features(spark, sf_dir)
     if references:
-        segments = segments.join(turns(segments), "seg", "left")
+        segments = segments.join(turns(spark, sf_dir), "seg", "left")
     return segments.drop("seg").unionByName(connector_features(spark, sf_dir), allowMissingColumns=True)

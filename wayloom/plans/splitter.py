@@ -22,7 +22,7 @@ from wayloom.operators.references import (
 )
 from wayloom.operators.reports import counted
 from wayloom.plans.config import DEFAULT_CONFIG, SplitConfig
-from wayloom.sources.feature_io import FeatureIO, Stage
+from wayloom.sources.feature_io import FeatureIO, Stage, geometry_encoding, with_wkb
 
 SPLIT_FIELDS = {"start_lr": "double", "end_lr": "double", "metrics": "map<string,string>"}
 
@@ -37,6 +37,8 @@ def lr_columns(features: DataFrame, config: SplitConfig = DEFAULT_CONFIG) -> lis
 def all_connectors(features: DataFrame, split: DataFrame) -> DataFrame:
     """Connectors of the input and the ones added at linear references."""
     added = added_connectors(split)
+    if geometry_encoding(features) == "wkb":
+        added = with_wkb(added)
     return connectors(features).unionByName(added, allowMissingColumns=True).select(*features.columns)
 
 
@@ -49,6 +51,8 @@ def assemble(features: DataFrame, pieces: DataFrame, split: DataFrame) -> DataFr
     for column, kind in SPLIT_FIELDS.items():
         points = points.withColumn(column, F.lit(None).cast(kind))
     columns = [*features.columns, *SPLIT_FIELDS]
+    if geometry_encoding(features) == "wkb":
+        pieces = with_wkb(pieces)
     return resolve_references(pieces).select(*columns).unionByName(points.select(*columns))
 
 
@@ -72,13 +76,13 @@ def split_network(
     """Split the features that ``io`` reads, keep every stage, and return the result.
 
     Each stage is read back from storage, so nothing is computed twice and a lost executor
-    costs at most the tasks of one stage. ``on_stage`` hears how many rows each stage wrote.
+    costs at most the tasks of one stage. Geometry is decoded once, where lines are cut. ``on_stage`` hears how many rows each stage wrote.
     """
 
     def stage(name: Stage, make: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()) -> DataFrame:
         if not (config.reuse_existing_intermediate_outputs and io.check_exists(spark, name)):
             store(name, make(), partition_by)
-        return io.read(spark, name)
+        return io.read_stored(spark, name)
 
     def store(name: Stage, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         df, seen = counted(df, name.value)
@@ -87,7 +91,7 @@ def split_network(
             on_stage(name, seen.get["rows"])
 
     def source() -> DataFrame:
-        return io.read(spark, Stage.read_input)
+        return io.read_stored(spark, Stage.read_input)
 
     features = source() if filter_wkt is None else stage(
         Stage.spatial_filter, lambda: spatial_filter(source(), filter_wkt)

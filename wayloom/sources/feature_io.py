@@ -9,7 +9,7 @@ from collections.abc import Callable
 from enum import Enum
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,12 +69,18 @@ class FeatureIO:
         return self.input_path if stage == Stage.read_input else self.output_path_prefix
 
     def read(self, spark: SparkSession, stage: Stage) -> DataFrame:
-        if not self.custom_read_hook:
-            path = self.default_path_for_step(stage)
-            return read_parquet(spark, path) if stage == Stage.raw_split else read_features(spark, path)
-        df = self.custom_read_hook(spark, stage, self._hook_path(stage))
+        df = self.read_stored(spark, stage)
         return df if stage == Stage.raw_split else with_coordinates(df)
 
+    def read_stored(self, spark: SparkSession, stage: Stage) -> DataFrame:
+        """As :meth:`read`, with geometry left in the form it is stored in."""
+        if self.custom_read_hook:
+            df = self.custom_read_hook(spark, stage, self._hook_path(stage))
+        else:
+            merge = stage != Stage.raw_split
+            df = read_parquet(spark, self.default_path_for_step(stage), merge)
+        return df if stage == Stage.raw_split else with_valid_geometry(df)
+
     def check_exists(self, spark: SparkSession, stage: Stage) -> bool:
         if self.custom_exists_hook:
             return self.custom_exists_hook(spark, stage, self.output_path_prefix)
@@ -118,13 +124,23 @@ def has_coordinates(spark: SparkSession, path: str, geometry_column: str = GEOME
         return False
 
 
-def with_coordinates(df: DataFrame, geometry_column: str = GEOMETRY) -> DataFrame:
-    encoding = geometry_encoding(df, geometry_column)
-    if encoding is None:
+def with_valid_geometry(df: DataFrame, geometry_column: str = GEOMETRY) -> DataFrame:
+    if geometry_encoding(df, geometry_column) is None:
         raise ValueError(f"the features need a column `{geometry_column}` of binary or coordinates")
-    if encoding == "coords":
+    return df
+
+
+def coordinates(df: DataFrame, geometry_column: str = GEOMETRY) -> Column:
+    """The geometry as coordinates, decoded only where it is stored as binary."""
+    column = F.col(geometry_column)
+    stored = geometry_encoding(with_valid_geometry(df, geometry_column), geometry_column)
+    return column if stored == "coords" else decode_wkb(column)
+
+
+def with_coordinates(df: DataFrame, geometry_column: str = GEOMETRY) -> DataFrame:
+    if geometry_encoding(df, geometry_column) == "coords":
         return df
-    return df.withColumn(geometry_column, decode_wkb(F.col(geometry_column)))
+    return df.withColumn(geometry_column, coordinates(df, geometry_column))
 
 
 def with_wkb(df: DataFrame, geometry_column: str = GEOMETRY) -> DataFrame:

@@ -132,7 +132,7 @@ def rescope(
         unscoped = F.struct(F.lit(True).alias("applies"), scope.cast("array<double>").alias(SCOPE_FIELD))
         return let(
             F.when(scope.isNull(), unscoped).otherwise(scoped),
-            lambda s: F.when(s.applies, rebuild(value, t, s[SCOPE_FIELD].cast(_scope_type(t).toNullable()))),
+            lambda s: F.when(s.applies, rebuild(value, t, s[SCOPE_FIELD].cast(_nullable(_scope_type(t))))),
         )
 
     def rebuild(value: Column, t: T.StructType, scope: Column | None) -> Column:
@@ -143,8 +143,13 @@ def rescope(
         anything = lambda s: reduce(lambda a, b: a | b, [s[f.name].isNotNull() for f in t])
         return F.when(value.isNotNull(), let(F.struct(*fields), lambda s: F.when(anything(s), s)))
 
-    return walk(column, data_type).cast(data_type.toNullable())
+    return walk(column, data_type).cast(_nullable(data_type))
 
 
 def _scope_type(t: T.StructType) -> T.DataType | None:
     return next((f.dataType for f in t if f.name == SCOPE_FIELD), None)
+
+
+def _nullable(t: T.DataType) -> T.DataType:
+    """The same type with nulls allowed anywhere, as rescoping may put them."""
+    return t.toNullable() if isinstance(t, (T.ArrayType, T.MapType, T.StructType)) else t

@@ -611,7 +611,7 @@ def _(spark, sf_dir):
     next_cid AS next_connector_id, final_heading FROM titem""",
 )
 def _(spark, sf_dir):
-    items = references.turn_items(pieces(spark, sf_dir))
+    items = references.reference_items(pieces(spark, sf_dir), destinations=False)
     return items.select(
         "id", whole("piece_no"), whole("item"), whole("step"), "segment_id", "connector_id", "next_connector_id", "final_heading"
     )
@@ -623,7 +623,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     table = pieces(spark, sf_dir)
-    return references.referenced_pieces(table, references.turn_items(table)).select("id", whole("piece_no"))
+    return references.referenced_pieces(table, references.reference_items(table, destinations=False)).select("id", whole("piece_no"))
 
 
 @query(
@@ -632,7 +632,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     table = pieces(spark, sf_dir)
-    matches = references.match_items(references.turn_items(table), table).distinct()
+    matches = references.match_items(references.reference_items(table, destinations=False), table).distinct()
     return matches.select("id", whole("piece_no"), whole("step"), rounded("ref_start_lr", 6), rounded("ref_end_lr", 6))
 
 

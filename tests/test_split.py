@@ -15,16 +15,14 @@ ROAD = [(-122.18, 47.61), (-122.179, 47.6105), (-122.178, 47.61), (-122.177, 47.
 
 
 @pytest.fixture(scope="module")
-def schema(spark):
-    columns = {k: v for k, v in catalog.SPLIT_TABLE_COLUMNS.items() if k not in ("geometry", "start_lr", "end_lr", "theme")}
-    columns["geometry"] = "array<struct<x:double,y:double>>"
-    return T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in columns.items()))
+def table(spark):
+    """Features with the published types of just the columns that the rows use."""
+    types = {**catalog.SPLIT_TABLE_COLUMNS, "geometry": "array<struct<x:double,y:double>>"}
 
-
-@pytest.fixture(scope="module")
-def table(spark, schema):
     def make(rows):
-        return spark.createDataFrame([[r.get(f.name) for f in schema] for r in rows], schema)
+        used = [n for n in types if n in ("id", "type", "geometry", "connectors") or any(n in r for r in rows)]
+        schema = T.StructType.fromDDL(", ".join(f"`{n}` {types[n]}" for n in used))
+        return spark.createDataFrame([[r.get(n) for n in used] for r in rows], schema)
 
     return make
 
@@ -71,12 +69,17 @@ def town(table):
     )
 
 
+@pytest.fixture(scope="module")
+def split_town(town):
+    return split_features(town).persist()
+
+
 def pieces_of(result, id_):
     return result.filter(F.col("id") == id_).orderBy("start_lr").collect()
 
 
-def test_cut_at_everything(town):
-    result = split_features(town).cache()
+def test_cut_at_everything(split_town):
+    result = split_town
     a, b, c, d = pieces_of(result, "road")
     assert [p.start_lr for p in (a, b, c, d)] == [0.0, pytest.approx(0.3523, abs=0.001), 0.55, 0.8] and d.end_lr == 1.0
     assert [[(k.connector_id, k["at"]) for k in p.connectors] for p in (a, b, c, d)] == [
@@ -106,8 +109,8 @@ def test_cut_at_references_only(town):
     assert [p.end_lr for p in (a, b, c)] == [0.55, 0.8, 1.0]
 
 
-def test_turns_and_destinations_point_at_pieces(town):
-    result = split_features(town).cache()
+def test_turns_and_destinations_point_at_pieces(split_town):
+    result = split_town
     *others, last = pieces_of(result, "road")
     assert all(p.prohibited_transitions is None for p in others)
     (turn,) = last.prohibited_transitions
@@ -241,7 +244,7 @@ def test_same_result_on_any_number_of_partitions(spark):
         old = spark.conf.get("spark.sql.shuffle.partitions")
         spark.conf.set("spark.sql.shuffle.partitions", n)
         try:
-            result = split_features(derived.features(spark, "/root/testdata/sf0.001", references=True))
+            result = split_features(derived.features(spark, "/root/testdata/sf0.001"))
             row = F.to_json(F.struct(*result.columns))
             return result.agg(F.count(F.lit(1)), F.sum(F.crc32(row.cast("binary")))).first()
         finally:
@@ -268,7 +271,7 @@ def test_stage_paths():
         FeatureIO("a", "b", custom_read_hook=lambda spark, stage, path: None)
 
 
-def test_staged_split_equals_one_plan_and_reuses_stages(town, spark, tmp_path):
+def test_staged_split_equals_one_plan_and_reuses_stages(town, split_town, spark, tmp_path):
     wkt = "POLYGON ((-122.2 47.6, -122.17 47.6, -122.17 47.62, -122.2 47.62, -122.2 47.6))"
     write_features(town, f"{tmp_path}/in")
     assert not has_coordinates(spark, f"{tmp_path}/in") and not has_coordinates(spark, f"{tmp_path}/none")
@@ -280,7 +283,7 @@ def test_staged_split_equals_one_plan_and_reuses_stages(town, spark, tmp_path):
         Stage.spatial_filter: 8, Stage.joined: 3, Stage.raw_split: 3, Stage.segment_splits_exploded: 6, Stage.final_output: 13,
     }
     rows = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
-    expected = rows(split_features(town))
+    expected = rows(split_town)
     assert rows(result) == expected
     before = {s: parquet_exists(spark, io.default_path_for_step(s)) for s in Stage}
     assert all(before.values())
@@ -326,14 +329,15 @@ def test_filter_keeps_what_meets_the_polygon(town):
     assert {r.id for r in spatial_filter(town, near).collect()} == {"next", "c4"}
     box = F.struct(*[F.lit(v).alias(k) for k, v in {"xmin": 0.0, "xmax": 1.0, "ymin": 0.0, "ymax": 1.0}.items()])
     assert spatial_filter(town.withColumn("bbox", box), near).count() == 0
-    (a, b) = pieces_of(split_features(town, near), "next")[:2] if False else (None, None)
-    assert split_features(town, near).filter("id = 'next'").count() == 0
 
 
-def test_published_table(town, spark, tmp_path):
+def test_published_table(split_town, spark, tmp_path):
     from wayloom.sources.feature_io import with_wkb
 
-    result = split_features(town).withColumn("theme", F.lit("transportation"))
+    result = split_town
+    for name, kind in catalog.SPLIT_TABLE_COLUMNS.items():
+        if name not in result.columns:
+            result = result.withColumn(name, F.lit(None).cast(kind))
     with_wkb(result).write.parquet(f"{tmp_path}/final")
     spark.sql("DROP TABLE IF EXISTS published")
     catalog.publish(spark, "published", f"{tmp_path}/final")
@@ -342,8 +346,8 @@ def test_published_table(town, spark, tmp_path):
     assert table.filter("type = 'segment' and start_lr = 0").count() == 3
 
 
-def test_reports(town):
-    result = split_features(town).cache()
+def test_reports(town, split_town):
+    result = split_town
     metrics = {(r.key, r.value): (r.value_count, r.percentage) for r in reports.metric_profile(result).collect()}
     assert sum(n for (k, _), (n, _) in metrics.items() if k == "length") == 6
     assert sum(p for (k, _), (_, p) in metrics.items() if k == "length") == pytest.approx(100, abs=0.02)

@@ -92,33 +92,34 @@ def turn_references(turns: Column) -> Column:
     )
 
 
-def turn_items(pieces: DataFrame) -> DataFrame:
-    """One row per turn sequence item, with the piece that carries it."""
-    return pieces.select("id", "piece_no", F.explode(TURN_REFERENCES).alias("r")).select(
-        "id",
-        "piece_no",
-        F.lit(TURNS).alias("kind"),
-        F.col("r.tr_index").alias("item"),
-        F.col("r.sequence_index").alias("step"),
-        F.col("r.segment_id").alias("segment_id"),
-        F.col("r.connector_id").alias("connector_id"),
-        F.col("r.next_connector_id").alias("next_connector_id"),
-        F.col("r.final_heading").alias("final_heading"),
-    )
+def reference_items(pieces: DataFrame, turns: bool = True, destinations: bool = True) -> DataFrame:
+    """One row per turn sequence item and per destination, with the piece that carries it.
+
+    A destination looks like the last item of a turn.
+    """
+
+    def entry(kind: str, item: Column, step: Column, segment: Column, at: Column, then: Column, heading: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            item.alias("item"),
+            step.alias("step"),
+            segment.alias("segment_id"),
+            at.alias("connector_id"),
+            then.alias("next_connector_id"),
+            heading.alias("final_heading"),
+        )
+
+    def turn(r: Column) -> Column:
+        return entry(TURNS, r.tr_index, r.sequence_index, r.segment_id, r.connector_id, r.next_connector_id, r.final_heading)
 
+    def destination(d: Column, i: Column) -> Column:
+        nothing = F.lit(None).cast("string")
+        return entry(DESTINATIONS, i, F.lit(0), d.to_segment_id, d.to_connector_id, nothing, d.final_heading)
 
-def destination_items(pieces: DataFrame) -> DataFrame:
-    """One row per destination, shaped like a turn's last item."""
-    return pieces.select("id", "piece_no", F.posexplode(DESTINATIONS).alias("item", "d")).select(
-        "id",
-        "piece_no",
-        F.lit(DESTINATIONS).alias("kind"),
-        "item",
-        F.lit(0).alias("step"),
-        F.col("d.to_segment_id").alias("segment_id"),
-        F.col("d.to_connector_id").alias("connector_id"),
-        F.lit(None).cast("string").alias("next_connector_id"),
-        F.col("d.final_heading").alias("final_heading"),
+    lists = [F.transform(TURN_REFERENCES, turn)] if turns else []
+    lists += [F.transform(DESTINATIONS, destination)] if destinations else []
+    return pieces.select("id", "piece_no", F.explode(F.concat(*[F.coalesce(x, F.array()) for x in lists])).alias("r")).select(
+        "id", "piece_no", "r.*"
     )
 
 
@@ -209,29 +210,22 @@ def resolve_references(
 ) -> DataFrame:
     """Write the pieces that turns and destinations refer to into both columns.
 
-    Only narrow items travel to find their pieces. Of the wide rows only those that carry
-    references are shuffled to get the answers back; all others pass straight through.
+    Only narrow items travel to find their pieces. Where stored pieces are laid out by whether
+    they refer to others, only those that do are shuffled to get the answers back; all others
+    pass straight through.
     """
     turns = turns and TURN_REFERENCES in pieces.columns
     destinations = destinations and DESTINATIONS in pieces.columns
     if not turns and not destinations:
         return pieces
-    refers = F.lit(False)
-    if turns:
-        refers = refers | F.coalesce(F.size(TURN_REFERENCES) > 0, F.lit(False))
-    if destinations:
-        refers = refers | F.coalesce(F.size(DESTINATIONS) > 0, F.lit(False))
-    if REFERS in pieces.columns:
-        refers = F.col(REFERS) == 1
-    referring = pieces.filter(refers)
-    items = None
-    for wanted, make in ((turns, turn_items), (destinations, destination_items)):
-        if wanted:
-            items = make(referring) if items is None else items.unionByName(make(referring))
+    laid_out = REFERS in pieces.columns
+    referring = pieces.filter(F.col(REFERS) == 1) if laid_out else pieces
+    items = reference_items(referring, turns, destinations)
     matches = gather_matches(match_items(items, pieces, rows_per_task))
-    answered = referring.join(matches, ["id", "piece_no"], "left")
-    rest = pieces.filter(~refers).withColumn("_matches", F.lit(None).cast(answered.schema["_matches"].dataType))
-    both = answered.unionByName(rest)
+    both = referring.join(matches, ["id", "piece_no"], "left")
+    if laid_out:
+        nothing = F.lit(None).cast(both.schema["_matches"].dataType)
+        both = both.unionByName(pieces.filter(F.col(REFERS) != 1).withColumn("_matches", nothing))
     if turns:
         both = both.withColumn(TURNS, write_turns(F.col(TURNS), pieces.schema[TURNS].dataType, F.col("_matches")))
     if destinations:

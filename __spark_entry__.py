@@ -23,6 +23,7 @@ from wayloom.sources.feature_io import (
     parquet_exists,
     read_features,
     read_parquet,
+    small_scan_tasks,
     write_features,
     write_parquet,
 )
@@ -61,7 +62,8 @@ def stage(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFr
     """A step that many queries start from, computed once per session and read back."""
     path = f"{scratch(spark, sf_dir)}/{name}"
     if not parquet_exists(spark, path):
-        write_parquet(make(), path)
+        with small_scan_tasks(spark):
+            write_parquet(make(), path)
     return read_parquet(spark, path)
 
 

@@ -22,7 +22,7 @@ from wayloom.operators.references import (
 )
 from wayloom.operators.reports import counted
 from wayloom.plans.config import DEFAULT_CONFIG, SplitConfig
-from wayloom.sources.feature_io import FeatureIO, Stage, geometry_encoding, with_wkb
+from wayloom.sources.feature_io import FeatureIO, Stage, geometry_encoding, small_scan_tasks, with_wkb
 
 SPLIT_FIELDS = {"start_lr": "double", "end_lr": "double", "metrics": "map<string,string>"}
 
@@ -81,7 +81,8 @@ def split_network(
 
     def stage(name: Stage, make: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()) -> DataFrame:
         if not (config.reuse_existing_intermediate_outputs and io.check_exists(spark, name)):
-            store(name, make(), partition_by)
+            with small_scan_tasks(spark):
+                store(name, make(), partition_by)
         return io.read_stored(spark, name)
 
     def store(name: Stage, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:

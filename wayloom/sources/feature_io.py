@@ -5,7 +5,8 @@ In memory a geometry is ``array<struct<x, y>>``; on disk it is well-known binary
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from enum import Enum
 
 from pyspark.errors import AnalysisException
@@ -162,6 +163,22 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+@contextmanager
+def small_scan_tasks(spark: SparkSession) -> Iterator[None]:
+    """Plan scans with one row group per task.
+
+    Cutting lines takes far more time per byte than reading them, so a task of the usual
+    128 MB would run for many minutes.
+    """
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(ROW_GROUP_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def parquet_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)

@@ -37,6 +37,14 @@ def test_salted_join_with_condition(sides):
     assert same(salted, left.join(right, "key").filter((F.col("v") > 2) | (F.col("w") > 90)))
 
 
+def test_null_keys_stay_and_are_spread(sides):
+    left, right = sides
+    holes = left.withColumn("key", F.when(F.col("id") % 4 != 0, F.col("key")))
+    salted = salted_join(holes, right, ["key"], "left", [F.col("id")], rows_per_task=50)
+    assert same(salted, holes.join(right, "key", "left"))
+    assert hot_keys(holes.filter("key is null"), ["key"], 10).count() == 0
+
+
 def test_hub_rows_are_spread(sides):
     left, _ = sides
     hot = hot_keys(left, ["key"], 50)

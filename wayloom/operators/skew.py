@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK)
     Counts combine before their shuffle. Order and limit are deterministic, so a task run
     again gives the same list.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return (
         counts.filter(F.col("_rows") > rows_per_task)
         .orderBy(F.col("_rows").desc(), *keys)
@@ -46,8 +48,13 @@ def salted_join(
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left, not {how}")
     hot = F.broadcast(hot_keys(left.select(*keys), keys, rows_per_task))
-    share = F.when(F.col("_shares").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*spread_by), F.col("_shares")).cast("int")
+    dealt_to = lambda shares: F.pmod(F.xxhash64(*spread_by), shares).cast("int")
+    # Null keys match nothing, so they may go anywhere; left alone they would all go to one task.
+    unmatchable = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    share = (
+        F.when(unmatchable, dealt_to(F.lit(MAX_SALTS)))
+        .when(F.col("_shares").isNull(), 0)
+        .otherwise(dealt_to(F.col("_shares")))
     )
     dealt = left.join(hot, keys, "left").withColumn("_share", share).drop("_shares")
     shares = F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1)

@@ -55,7 +55,8 @@ PARTS = {
         FROM placed0 p JOIN tot ON tot.seg = p.seg JOIN run r ON r.seg = p.seg AND r.idx = p.vertex""",
     "ends_of": """SELECT *, row_number() OVER (PARTITION BY seg ORDER BY lr, seq) AS up,
         row_number() OVER (PARTITION BY seg ORDER BY lr DESC, seq DESC) AS down FROM placed""",
-    "outer_placed": "SELECT * EXCLUDE (up, down) FROM ends_of WHERE up = 1 OR down = 1",
+    # Kept in line order, so that the far end counts as the one found last.
+    "outer_placed": "SELECT * EXCLUDE (seq, up, down), up AS seq FROM ends_of WHERE up = 1 OR down = 1",
     "rules": """SELECT seg, row_number() OVER (PARTITION BY seg ORDER BY idx) - 1 AS ri, flag AS value, lo, hi
         FROM vv WHERE l_partkey % 2 = 0""",
     "names": "SELECT DISTINCT seg, cid FROM pairs",

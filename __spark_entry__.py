@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import importlib.util
 import tempfile
 from collections.abc import Callable
 
@@ -772,6 +773,21 @@ def entry(spark: SparkSession) -> DataFrame:
     )
 
 
+# ------------------------------------------------ operators for training data, where they are installed
+
+if importlib.util.find_spec("wayloom.llm") and importlib.util.find_spec("wayloom.llm.queries"):
+    from wayloom.llm import queries as llm_queries
+
+    QUERIES.update(llm_queries.QUERIES)
+    ORACLES.update(llm_queries.ORACLES)
+if importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline
+
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayloom.llm import language, packing, secrets, topk, url_filter
+from wayloom.llm import jaccard, language, lines, packing, secrets, topk, url_filter
 from wayloom.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,10 +21,21 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.drop_frequent_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    kept = F.sha2(F.col("kept").cast("binary"), 256)
+    return found.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     predicted = language.identify_language(table(spark, sf_dir, "documents"), fold("doc_id", 4) != 2)
     return predicted.select("doc_id", (~F.col("_training")).alias("held_out"), "lang_pred", "score")
@@ -40,7 +51,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_secret_scan, op4_packing, op7_language_id, op8_exact_top_k, op10_url_filters)
+    for f in (op1_secret_scan, op3_jaccard_join, op4_packing, op5_line_dedup, op7_language_id, op8_exact_top_k, op10_url_filters)
 }
 
 ORACLES: dict[str, str] = {}

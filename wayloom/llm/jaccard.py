@@ -31,7 +31,7 @@ from wayloom.llm.shingles import WordHashes, shingle_sets
 SIZE = 5
 PERCENT = 80
 #: Entries of the incidence matrix in a block of columns.
-BLOCK_ENTRIES = 2_000_000
+BLOCK_ENTRIES = 1_500_000
 #: Rounds of comparisons with pivots before the comparison by pairs.
 ROUNDS = 3
 
@@ -63,7 +63,7 @@ def _incidence(docs: DataFrame, size: int, blocks: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
-        for batch in row_batches(batches, 16 << 20):
+        for batch in row_batches(batches, 6 << 20):
             # Copies within a batch are sent once.
             classes = {_key(s): s for s in shingle_sets(batch.column(0).to_pylist(), size, cache) if len(s)}
             if not classes:

@@ -31,8 +31,22 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def shingle_sets(texts: list[str], size: int, cache: WordHashes) -> list[np.ndarray]:
-    """Sorted distinct 64-bit shingle hashes of each text; the whole sequence if it has fewer words, none without words."""
+def shingle_sets(texts: list[str], size: int, cache: WordHashes, together: int = 1 << 20) -> list[np.ndarray]:
+    """Sorted distinct 64-bit shingle hashes of each text; the whole sequence if it has fewer words, none without words.
+
+    Texts are taken `together` up to about so many characters, which bounds the words held at a time.
+    """
+    sets, some, held = [], [], 0
+    for text in texts:
+        some.append(text)
+        held += len(text)
+        if held >= together:
+            sets += _sets(some, size, cache)
+            some, held = [], 0
+    return sets + _sets(some, size, cache)
+
+
+def _sets(texts: list[str], size: int, cache: WordHashes) -> list[np.ndarray]:
     words = list(map(words_of, texts))
     counts = list(map(len, words))
     hashes = np.fromiter(map(cache.__getitem__, chain.from_iterable(words)), np.uint64, sum(counts))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayloom.llm import jaccard, language, lines, packing, secrets, topk, url_filter
+from wayloom.llm import decontaminate, jaccard, language, lines, lm, packing, secrets, topk, toxicity, url_filter
 from wayloom.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,15 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score_toxicity(docs, labels, fold("doc_id", 3) != 1)
+    predicted = (F.col("score") >= toxicity.REJECT_FROM).cast("int")
+    return scored.select(
+        F.col("doc.doc_id").alias("doc_id"), (~F.col("training")).alias("held_out"), "score", predicted.alias("predicted")
+    )
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -36,6 +45,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     predicted = language.identify_language(table(spark, sf_dir, "documents"), fold("doc_id", 4) != 2)
     return predicted.select("doc_id", (~F.col("_training")).alias("held_out"), "lang_pred", "score")
@@ -45,13 +58,28 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).drop("pattern")
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_secret_scan, op3_jaccard_join, op4_packing, op5_line_dedup, op7_language_id, op8_exact_top_k, op10_url_filters)
+    for f in (
+        op1_secret_scan,
+        op2_toxicity,
+        op3_jaccard_join,
+        op4_packing,
+        op5_line_dedup,
+        op6_lm_scoring,
+        op7_language_id,
+        op8_exact_top_k,
+        op9_decontamination,
+        op10_url_filters,
+    )
 }
 
 ORACLES: dict[str, str] = {}

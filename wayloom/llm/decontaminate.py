@@ -67,11 +67,12 @@ def _benchmark_windows(benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), template_tokens(text_of()).alias("_tokens"))
     items = _windows(items.where(F.col("item_id").isNotNull()).distinct())
     each = items.select(
-        "item_id", "_tokens", F.size("_windows").alias("item_windows"), F.posexplode("_windows").alias("item_at", "w")
+        "item_id", "_tokens", F.size("_windows").alias("item_windows"), F.posexplode_outer("_windows").alias("item_at", "w")
     )
     window = F.slice("_tokens", F.col("item_at") + 1, F.lit(WINDOW))
     each = each.select("w", "item_id", "item_at", "item_windows", window.alias("item_tokens"))
     literal = F.size(F.filter("item_tokens", lambda t: t >= _PLAIN))
+    each = each.where(F.col("w").isNotNull())
     return each.where(literal >= F.least(F.lit(LEAST_LITERAL), F.size("item_tokens")))
 
 
@@ -91,7 +92,9 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, least_coverage: flo
         F.xxhash64(text_of()).alias("text_hash"),
         template_tokens(text_of()).alias("_tokens"),
     )
-    each = _windows(rows).select("doc_id", "text_hash", "_tokens", F.posexplode("_windows").alias("_at", "w"))
+    # The outer form: for the inner one Spark pushes a filter on the size of _windows down to the scan, and
+    # with it copies of all that _windows is made of.
+    each = _windows(rows).select("doc_id", "text_hash", "_tokens", F.posexplode_outer("_windows").alias("_at", "w"))
     met = each.join(windows, "w").select(
         "doc_id",
         "text_hash",

@@ -7,11 +7,11 @@
    shingles are shared has none. The others put their shingles in order, rarest first; partners meet
    in the first n - ceil(0.8 n) + 1 of them.
 4. Overlaps are counted exactly for pairs of classes that meet. Since the result is the connected
-   components, pairs already known to be connected are not counted: in a few rounds, every class
+   components, pairs already known to be connected are not counted: in ROUNDS rounds, every class
    that meets others is compared with one pivot of each posting list, so a large group of near
-   copies costs a star and not its square. What still is in different components within a list is
-   then compared pair by pair, except within the list's largest component. No link that joins two
-   components is lost.
+   copies costs a star and not its square. Lists in which components still meet are put together
+   by pivot, and the sparse product of their classes outside the largest component with all of
+   them is taken block by block; only links come out. No link that joins two components is lost.
 """
 
 from __future__ import annotations
@@ -32,8 +32,10 @@ SIZE = 5
 PERCENT = 80
 #: Entries of the incidence matrix in a block of columns.
 BLOCK_ENTRIES = 1_500_000
-#: Rounds of comparisons with pivots before the comparison by pairs.
-ROUNDS = 3
+#: Rounds of comparisons with pivots before the product by blocks.
+ROUNDS = 2
+#: About so many shingles on a side of a block of the product, and overlaps counted at a time.
+BLOCK_SHINGLES = 1_000_000
 
 
 def shingle_keys(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -58,6 +60,24 @@ def _key(shingles: np.ndarray) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _gaps(entries: np.ndarray) -> bytes:
+    """Ascending shingles as the gaps between them, in six bytes each if those hold them, else in eight."""
+    gaps = np.diff(entries, prepend=np.uint64(0))
+    if len(gaps) > 1 and gaps[1:].max() < 1 << 48:
+        first = gaps[:1].tobytes()
+        return first + gaps[1:].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    return gaps.astype("<u8").tobytes()
+
+
+def _from_gaps(packed: bytes, count: int) -> np.ndarray:
+    if len(packed) == 8 * count:
+        return np.cumsum(np.frombuffer(packed, "<u8"), dtype=np.uint64)
+    gaps = np.zeros((count, 8), dtype=np.uint8)
+    gaps[0] = np.frombuffer(packed[:8], np.uint8)
+    gaps[1:, :6] = np.frombuffer(packed[8:], np.uint8).reshape(-1, 6)
+    return np.cumsum(gaps.view("<u8")[:, 0], dtype=np.uint64)
+
+
 def _incidence(docs: DataFrame, size: int, blocks: int) -> DataFrame:
     """Packed entries: block, keys and sizes of the classes of a batch, shingles in order, their class's place."""
 
@@ -83,7 +103,7 @@ def _incidence(docs: DataFrame, size: int, blocks: int) -> DataFrame:
                 if at.start < at.stop:
                     used, place = np.unique(own[at], return_inverse=True)
                     packed = place.astype("<u2" if len(used) < 1 << 16 else "<u4").tobytes()
-                    rows.append((block, keys[used].tobytes(), sizes[used].tobytes(), entries[at].tobytes(), packed))
+                    rows.append((block, keys[used].tobytes(), sizes[used].tobytes(), _gaps(entries[at]), packed))
             kinds = (pa.int32(), *[pa.binary()] * 4)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
@@ -101,8 +121,9 @@ def _shared_entries(incidence: DataFrame, row_blocks: int) -> DataFrame:
         keys, sizes, shingles = [], [], []
         columns = [table.column(c).to_pylist() for c in ("keys", "sizes", "shingles", "places")]
         for k, s, h, p in zip(*columns, strict=True):
-            own, entries = np.frombuffer(k, "<i8"), np.frombuffer(h, "<u8")
+            own = np.frombuffer(k, "<i8")
             place = np.frombuffer(p, "<u2" if len(own) < 1 << 16 else "<u4")
+            entries = _from_gaps(h, len(place))
             keys.append(own[place])
             sizes.append(np.frombuffer(s, "<u4")[place])
             shingles.append(entries)
@@ -212,13 +233,65 @@ def _connected(rows: DataFrame, percent: int, base: str) -> DataFrame:
         compare(pairs, f"round{round_no}")
 
     lists = stored(mixed("rest"), f"{base}/rest")
-    parts = lists.groupBy("shingle", "label").agg(F.count("*").alias("_n"))
-    largest = parts.groupBy("shingle").agg(F.max(F.struct("_n", "label")).alias("top"))
-    small = lists.join(largest, "shingle").where(F.col("label") != F.col("top.label"))
-    small = small.select("shingle", F.col("set_key").alias("other"), F.col("n").alias("m"), F.col("label").alias("l"))
-    pairs = lists.join(small, "shingle").where((F.col("label") != F.col("l")) & _sized("n", "m", percent))
-    compare(pairs.select("set_key", "other"), "rest")
-    return labels
+    found = stored(_block_links(lists, rows, percent, base), f"{base}/links-rest")
+    return components(found if links is None else links.union(found), f"{base}/components-rest")
+
+
+def _block_links(lists: DataFrame, rows: DataFrame, percent: int, base: str) -> DataFrame:
+    """Links (a, b) between components that meet in posting lists (shingle, set_key, n, label).
+
+    Lists with the same pivot make a group. Its classes outside its largest component (the left side)
+    are multiplied with all its classes, in blocks of about BLOCK_SHINGLES a side.
+    """
+    pivot = F.min(F.struct(F.xxhash64("set_key"), "set_key")).alias("p")
+    group = lists.groupBy("shingle").agg(pivot).select("shingle", F.col("p.set_key").alias("group"))
+    members = stored(lists.join(group, "shingle").select("group", "set_key", "n", "label").distinct(), f"{base}/members")
+    parts = members.groupBy("group", "label").agg(F.sum("n").alias("_n"))
+    sizes = parts.groupBy("group").agg(F.max(F.struct("_n", "label")).alias("_top"), F.sum("_n").alias("_all"))
+    members = members.join(sizes, "group").join(rows.drop("prefix", "n"), "set_key")
+    left_size = F.col("_all") - F.col("_top._n")
+    shares = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK_SHINGLES)).cast("int")
+    place = lambda n: F.pmod(F.xxhash64(F.lit("place"), "set_key"), shares(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), shares(n) - 1))
+    kept = ["group", "set_key", "n", "label", "shingles"]
+    left = members.where(F.col("label") != F.col("_top.label")).select(
+        *kept, place(left_size).alias("_i"), every(F.col("_all")).alias("_j"), F.lit(True).alias("_left")
+    )
+    right = members.select(
+        *kept, place(F.col("_all")).alias("_j"), every(left_size).alias("_i"), F.lit(False).alias("_left")
+    )
+
+    def run(table: pa.Table) -> pa.Table:
+        key, n, label, is_left = (table.column(c).to_numpy() for c in ("set_key", "n", "label", "_left"))
+        lists = table.column("shingles").combine_chunks()
+        tokens = lists.flatten().to_numpy()
+        owner = np.repeat(np.arange(len(key)), np.diff(lists.offsets.to_numpy()))
+        # The right side by columns: the classes that have a token.
+        on_right = ~is_left[owner]
+        order = np.argsort(tokens[on_right], kind="stable")
+        column, entry = tokens[on_right][order], owner[on_right][order]
+        starts = np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
+        links: list[tuple[int, int]] = []
+        for i in np.flatnonzero(is_left):
+            own = tokens[starts[i] : starts[i + 1]]
+            begin, end = np.searchsorted(column, own), np.searchsorted(column, own, side="right")
+            overlap = np.zeros(len(key), dtype=np.int64)
+            total = np.cumsum(end - begin)
+            for part in np.split(np.arange(len(own)), np.searchsorted(total, np.arange(BLOCK_SHINGLES, total[-1], BLOCK_SHINGLES))):
+                counts = (end - begin)[part]
+                at = np.repeat(begin[part] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+                overlap += np.bincount(entry[at], minlength=len(key))
+            linked = (100 * overlap >= percent * (n[i] + n - overlap)) & (overlap > 0) & (label != label[i])
+            if linked.any():
+                # One link to each component is enough.
+                where = np.flatnonzero(linked)
+                _, first = np.unique(label[where], return_index=True)
+                links += [(int(key[i]), int(key[j])) for j in where[first]]
+        a, b = zip(*links, strict=True) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    blocks = left.unionByName(right).groupBy("group", "_i", "_j")
+    return blocks.applyInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:

@@ -26,6 +26,7 @@ BLOCK_ROWS = 8192
 BLOCK_QUERIES = 1024
 #: Candidates evaluated before the first look at the stopping rule; doubled after each look.
 STEP = 512
+MOST = 2**63 - 1
 _BLOCK = "dim int, ids binary, vectors binary"
 
 
@@ -134,7 +135,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, pivots: int = PIVOTS)
     Queries are the usable rows for which `is_query` (over vec_id) holds; candidates are all usable
     rows of the same vector length with another vec_id, ties to the smaller vec_id; a vec_id that
     occurs in several rows stands for several candidates, and as a query it is answered once, from its
-    smallest vector. Fewer than k candidates give fewer rows; an empty table gives none.
+    smallest vector. Fewer than k candidates give fewer rows; an empty table gives none. A product beyond
+    a long counts as the largest (or smallest) one.
     """
     spark = rows.sparkSession
     base = scratch(spark)
@@ -162,7 +164,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, pivots: int = PIVOTS)
                         [
                             pa.array([query] * len(found), pa.int64()),
                             pa.array(found, pa.int64()),
-                            pa.array(score, pa.int64()),
+                            pa.array([min(max(s, -MOST), MOST) for s in score], pa.int64()),
                         ],
                         ["query_id", "vec_id", "score"],
                     )

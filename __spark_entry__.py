@@ -21,10 +21,12 @@ from wayloom.sources import catalog
 from wayloom.sources.feature_io import (
     FeatureIO,
     Stage,
-    parquet_exists,
+    is_whole,
+    mark_whole,
     read_features,
     read_parquet,
-    small_scan_tasks,
+    spread_scan,
+    unmark,
     write_features,
     write_parquet,
 )
@@ -62,12 +64,25 @@ def scratch(spark: SparkSession, sf_dir: str) -> str:
 def stage(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
     """A step that many queries start from, computed once per session and read back."""
     path = f"{scratch(spark, sf_dir)}/{name}"
-    if not parquet_exists(spark, path):
-        with small_scan_tasks(spark):
-            write_parquet(make(), path)
+    if not is_whole(spark, path):
+        df = make()
+        unmark(spark, path)
+        with spread_scan(df):
+            write_parquet(df, path)
+        mark_whole(spark, path)
     return read_parquet(spark, path)
 
 
+def stored_features(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the features as a user stores them, with binary geometry."""
+    path = f"{scratch(spark, sf_dir)}/stored"
+    if not is_whole(spark, path):
+        unmark(spark, path)
+        write_features(features(spark, sf_dir), path)
+        mark_whole(spark, path)
+    return path
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(spark, sf_dir, "features", lambda: derived.features(spark, sf_dir, references=True))
 
@@ -136,10 +151,7 @@ def _(spark, sf_dir):
     SELECT cid, 0, round(x, 7), round(y, 7) FROM con""",
 )
 def _(spark, sf_dir):
-    path = f"{scratch(spark, sf_dir)}/stored"
-    if not parquet_exists(spark, path):
-        write_features(features(spark, sf_dir), path)
-    stored = read_features(spark, path)
+    stored = read_features(spark, stored_features(spark, sf_dir))
     return network.vertices(stored).select("id", whole("idx"), rounded("x", 7), rounded("y", 7))
 
 
@@ -755,42 +767,48 @@ def _(spark, sf_dir):
 
 @query("p3_staged_split", FINAL_ROWS)
 def _(spark, sf_dir):
-    folder = scratch(spark, sf_dir)
-    if not parquet_exists(spark, f"{folder}/stored"):
-        write_features(features(spark, sf_dir), f"{folder}/stored")
-    return _final_rows(splitter.split_network(spark, FeatureIO(f"{folder}/stored", f"{folder}/staged")))
+    io = FeatureIO(stored_features(spark, sf_dir), f"{scratch(spark, sf_dir)}/staged")
+    return _final_rows(splitter.split_network(spark, io))
+
+
+@query("io10_reused_split", FINAL_ROWS)
+def _(spark, sf_dir):
+    io = FeatureIO(stored_features(spark, sf_dir), f"{scratch(spark, sf_dir)}/reused")
+    splitter.split_network(spark, io)
+    return _final_rows(splitter.split_network(spark, io))
 
 
 @query("p3_one_plan_split", FINAL_ROWS)
 def _(spark, sf_dir):
-    return _final_rows(splitter.split_features(derived.features(spark, sf_dir, references=True)))
+    path = f"{scratch(spark, sf_dir)}/cut"
+    return _final_rows(splitter.split_features(features(spark, sf_dir), split_path=path))
 
 
 def entry(spark: SparkSession) -> DataFrame:
     """Split the derived road network of the smallest tables."""
-    return splitter.split_features(derived.features(spark, "/root/testdata/sf0.001", references=True)).select(
-        "type", "id", "start_lr", "end_lr", "connectors", "metrics"
-    )
+    return final(spark, "/root/testdata/sf0.001").select("type", "id", "start_lr", "end_lr", "connectors", "metrics")
 
 
 # ------------------------------------------------ operators for training data, where they are installed
 
+TRAINING_DATA: dict[str, Query] = {}
+TRAINING_DATA_ORACLES: dict[str, str] = {}
 if importlib.util.find_spec("wayloom.llm") and importlib.util.find_spec("wayloom.llm.queries"):
     from wayloom.llm import queries as llm_queries
 
-    QUERIES.update(llm_queries.QUERIES)
-    ORACLES.update(llm_queries.ORACLES)
+    TRAINING_DATA.update(llm_queries.QUERIES)
+    TRAINING_DATA_ORACLES.update(llm_queries.ORACLES)
 if importlib.util.find_spec("corpus_pipeline"):
     import corpus_pipeline
 
-    QUERIES["pipeline"] = corpus_pipeline.run
+    TRAINING_DATA["pipeline"] = corpus_pipeline.run
     if corpus_pipeline.ORACLE_SQL:
-        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+        TRAINING_DATA_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return QUERIES | TRAINING_DATA
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | TRAINING_DATA_ORACLES

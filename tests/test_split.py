@@ -9,7 +9,7 @@ from wayloom import FeatureIO, SplitConfig, Stage, split_features, split_network
 from wayloom.functions.geodesy import distance
 from wayloom.operators import cutting, network, reports
 from wayloom.sources import catalog
-from wayloom.sources.feature_io import geometry_encoding, has_coordinates, parquet_exists, read_features, write_features
+from wayloom.sources.feature_io import geometry_encoding, has_coordinates, is_whole, mark_whole, read_features, write_features
 
 ROAD = [(-122.18, 47.61), (-122.179, 47.6105), (-122.178, 47.61), (-122.177, 47.6102)]
 
@@ -17,7 +17,11 @@ ROAD = [(-122.18, 47.61), (-122.179, 47.6105), (-122.178, 47.61), (-122.177, 47.
 @pytest.fixture(scope="module")
 def table(spark):
     """Features with the published types of just the columns that the rows use."""
-    types = {**catalog.SPLIT_TABLE_COLUMNS, "geometry": "array<struct<x:double,y:double>>"}
+    types = {name: kind for name, kind in catalog.SPLIT_TABLE_COLUMNS.items() if name != "metrics"}
+    types["geometry"] = "array<struct<x:double,y:double>>"
+    # Before the split, references have no ranges.
+    types["prohibited_transitions"] = types["prohibited_transitions"].replace(",start_lr:double,end_lr:double", "")
+    types["destinations"] = types["destinations"].replace("to_segment_start_lr:double,to_segment_end_lr:double,", "")
 
     def make(rows):
         used = [n for n in types if n in ("id", "type", "geometry", "connectors") or any(n in r for r in rows)]
@@ -285,8 +289,8 @@ def test_staged_split_equals_one_plan_and_reuses_stages(town, split_town, spark,
     rows = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
     expected = rows(split_town)
     assert rows(result) == expected
-    before = {s: parquet_exists(spark, io.default_path_for_step(s)) for s in Stage}
-    assert all(before.values())
+    marks = [p.name for p in tmp_path.iterdir() if p.name.endswith(".whole")]
+    assert sorted(marks) == sorted(f"out_{s.value}.whole" for s in Stage if s != Stage.read_input)
     again = []
     assert rows(split_network(spark, io, wkt, on_stage=lambda s, n: again.append(s))) == expected
     assert again == [Stage.final_output]
@@ -294,6 +298,70 @@ def test_staged_split_equals_one_plan_and_reuses_stages(town, split_town, spark,
     config = SplitConfig(reuse_existing_intermediate_outputs=False)
     assert rows(split_network(spark, io, wkt, config, on_stage=lambda s, n: afresh.append(s))) == expected
     assert afresh == list(seen)
+    # Another polygon or other settings are another question.
+    other = []
+    split_network(spark, io, wkt.replace("47.62", "47.63"), on_stage=lambda s, n: other.append(s))
+    assert other == list(seen)
+    other.clear()
+    split_network(spark, io, wkt, SplitConfig(point_precision=6), on_stage=lambda s, n: other.append(s))
+    assert other == list(seen)
+
+
+def test_half_written_stages_are_made_again(spark, tmp_path):
+    path = f"{tmp_path}/stage"
+    spark.range(100).repartition(4).write.parquet(path)
+    assert not is_whole(spark, path)
+    mark_whole(spark, path, "a")
+    assert is_whole(spark, path, "a") and not is_whole(spark, path, "b")
+    for part in sorted(p for p in (tmp_path / "stage").iterdir() if p.name.startswith("part"))[1:]:
+        part.unlink()
+    assert not is_whole(spark, path, "a")
+
+
+def test_names_of_own_columns_are_refused(town, spark, tmp_path):
+    write_features(town.withColumn("refers", F.lit(1)), f"{tmp_path}/in")
+    with pytest.raises(ValueError, match="refers"):
+        split_network(spark, FeatureIO(f"{tmp_path}/in", f"{tmp_path}/out"))
+
+
+def test_repeated_attributes_fail(town, spark):
+    more = spark.createDataFrame([("next", 1), ("next", 2)], "id string, lanes int")
+    with pytest.raises(Exception, match="repeated id among the attributes: next"):
+        network.attach_attributes(town, more).collect()
+
+
+def test_boxes_skip_row_groups(town, spark, tmp_path):
+    from wayloom.operators.filters import spatial_filter
+    from wayloom.sources.feature_io import read_parquet
+
+    near = town.filter("id = 'c4'")
+    x, y = F.element_at("geometry", 1)["x"], F.element_at("geometry", 1)["y"]
+    many = near.crossJoin(spark.range(400).withColumnRenamed("id", "n")).withColumn("id", F.col("n").cast("string"))
+    for i in range(4):
+        box = F.struct((x + i).alias("xmin"), (x + i).alias("xmax"), y.alias("ymin"), y.alias("ymax"))
+        moved = many.drop("n").withColumn("bbox", box).coalesce(1)
+        write_features(moved, f"{tmp_path}/boxed/part={i}")
+    wkt = "POLYGON ((-122.1765 47.6, -122.17 47.6, -122.17 47.62, -122.1765 47.62, -122.1765 47.6))"
+    kept = spatial_filter(read_parquet(spark, f"{tmp_path}/boxed"), wkt)
+    assert len(kept.collect()) == 400
+    assert _scan_rows(kept) == [400]
+
+
+def _scan_rows(df):
+    """Output rows of the file scans of a DataFrame that was collected."""
+    found = []
+
+    def walk(node):
+        metrics = node.metrics()
+        if "Scan" in node.nodeName() and metrics.contains("numOutputRows"):
+            found.append(metrics.apply("numOutputRows").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    plan = df._jdf.queryExecution().executedPlan()
+    walk(plan.executedPlan() if "Adaptive" in plan.nodeName() else plan)
+    return found
 
 
 def test_own_hooks(town, spark, tmp_path):
@@ -344,6 +412,10 @@ def test_published_table(split_town, spark, tmp_path):
     table = spark.table("published")
     assert table.columns == list(catalog.SPLIT_TABLE_COLUMNS)
     assert table.filter("type = 'segment' and start_lr = 0").count() == 3
+    step = table.filter("prohibited_transitions is not null").select(F.explode("prohibited_transitions.sequence").alias("s"))
+    assert step.filter("s[0].start_lr is not null").count() > 0
+    assert table.filter("destinations[0].to_segment_start_lr is not null").count() > 0
+    assert table.filter("element_at(metrics, 'length') is not null").count() == 6
 
 
 def test_reports(town, split_town):

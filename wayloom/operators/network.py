@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wayloom.functions.binding import bind, indices, pick, stretch
 from wayloom.functions.lines import edge_metres, running_totals
-from wayloom.operators.skew import ROWS_PER_TASK, salted_join
+from wayloom.operators.skew import salted_join
 from wayloom.sources.feature_io import coordinates
 
 
@@ -41,7 +41,7 @@ def connector_pairs(features: DataFrame) -> DataFrame:
     )
 
 
-def locate_pairs(pairs: DataFrame, positions: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def locate_pairs(pairs: DataFrame, positions: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """Give every pair its connector's point, null where the connector is missing.
 
     A hub connector may be in a large share of all pairs, so its rows are salted.
@@ -62,7 +62,7 @@ def gather_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("segment_id").agg(F.sort_array(F.collect_list(entry)).alias("joined_connectors"))
 
 
-def join_connectors(features: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def join_connectors(features: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """Segments with ``joined_connectors``; those without connectors stay, with null.
 
     Only ids and points travel to meet the connectors. The wide rows move once, by id, with
@@ -74,8 +74,16 @@ def join_connectors(features: DataFrame, rows_per_task: int = ROWS_PER_TASK) ->
 
 
 def attach_attributes(features: DataFrame, attributes: DataFrame) -> DataFrame:
-    """Add columns of another table by id; linear references in them get found like any."""
-    return features.join(attributes, "id", "left")
+    """Add columns of another table by id; linear references in them get found like any.
+
+    An id may occur once in the other table; if one is repeated the job fails and names it, instead
+    of multiplying features.
+    """
+    repeated = F.concat(F.lit("repeated id among the attributes: "), F.col("id"))
+    names = [c for c in attributes.columns if c != "id"]
+    once = attributes.groupBy("id").agg(F.count(F.lit(1)).alias("_n"), *(F.first(c).alias(c) for c in names))
+    sure = F.when(F.col("_n") > 1, F.raise_error(repeated).cast("string")).otherwise(F.col("id"))
+    return features.join(once.select(sure.alias("id"), *names), "id", "left")
 
 
 def vertices(lines: DataFrame) -> DataFrame:

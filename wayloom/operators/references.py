@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayloom.functions.binding import none_if_empty, pick
-from wayloom.operators.skew import ROWS_PER_TASK, salted_join
+from wayloom.operators.skew import salted_join
 
 TURNS = "prohibited_transitions"
 DESTINATIONS = "destinations"
@@ -137,7 +137,7 @@ def referenced_pieces(pieces: DataFrame, items: DataFrame) -> DataFrame:
     return pieces.join(referenced, "id", "left_semi")
 
 
-def match_items(items: DataFrame, pieces: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def match_items(items: DataFrame, pieces: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """Items with ``ref_start_lr, ref_end_lr`` of the piece they mean; unmatched ones drop out.
 
     A last item (or destination) heading forward enters a piece at its first connector,
@@ -206,7 +206,7 @@ def write_destinations(destinations: Column, destinations_type: T.ArrayType, mat
 
 
 def resolve_references(
-    pieces: DataFrame, turns: bool = True, destinations: bool = True, rows_per_task: int = ROWS_PER_TASK
+    pieces: DataFrame, turns: bool = True, destinations: bool = True, rows_per_task: int | None = None
 ) -> DataFrame:
     """Write the pieces that turns and destinations refer to into both columns.
 

@@ -7,27 +7,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with fewer rows than this fits one task.
-ROWS_PER_TASK = 500_000
-# The list of hot keys is broadcast, so its length is fixed; a key past it still joins
-# correctly, only unsalted.
-MAX_HOT_KEYS = 1_000
-MAX_SALTS = 4_096
 
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+
+def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int | None = None) -> DataFrame:
     """Keys with more rows than one task should hold, and the number of shares each needs.
 
-    Counts combine before their shuffle. Order and limit are deterministic, so a task run
-    again gives the same list.
+    A task should hold ``rows_per_task`` rows, or else an even share of all rows. Fewer keys than
+    there are tasks can have more than an even share, and their shares are at most twice as many as
+    the tasks. So the list is short at any size, without a limit. Counts combine before their shuffle.
     """
     counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counts.filter(F.col("_rows") > rows_per_task)
-        .orderBy(F.col("_rows").desc(), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.least(F.ceil(F.col("_rows") / rows_per_task), F.lit(MAX_SALTS)).cast("int").alias("_shares"))
-    )
+    if rows_per_task is not None:
+        even = F.lit(rows_per_task)
+    else:
+        total = df.dropna(subset=keys).select(F.count(F.lit(1))).scalar()
+        even = F.greatest(F.ceil(total / _tasks(df)), F.lit(1))
+    shares = F.ceil(F.col("_rows") / even).cast("int").alias("_shares")
+    return counts.filter(F.col("_rows") > even).select(*keys, shares)
 
 
 def salted_join(
@@ -37,7 +36,7 @@ def salted_join(
     how: str,
     spread_by: list[Column],
     condition: Column | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Inner or left join of ``left`` with a ``right`` that has few rows per key.
 
@@ -47,12 +46,14 @@ def salted_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left, not {how}")
-    hot = F.broadcast(hot_keys(left.select(*keys), keys, rows_per_task))
+    hot = hot_keys(left.select(*keys), keys, rows_per_task)
+    if rows_per_task is None:
+        hot = F.broadcast(hot)  # fewer rows than there are tasks
     dealt_to = lambda shares: F.pmod(F.xxhash64(*spread_by), shares).cast("int")
     # Null keys match nothing, so they may go anywhere; left alone they would all go to one task.
     unmatchable = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     share = (
-        F.when(unmatchable, dealt_to(F.lit(MAX_SALTS)))
+        F.when(unmatchable, dealt_to(F.lit(_tasks(left))))
         .when(F.col("_shares").isNull(), 0)
         .otherwise(dealt_to(F.col("_shares")))
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +24,13 @@ from wayloom.operators.references import (
 )
 from wayloom.operators.reports import counted
 from wayloom.plans.config import DEFAULT_CONFIG, SplitConfig
-from wayloom.sources.feature_io import FeatureIO, Stage, geometry_encoding, small_scan_tasks, with_wkb
+from wayloom.sources.feature_io import FeatureIO, Stage, geometry_encoding, read_parquet, spread_scan, with_wkb, write_parquet
 
+# Names of columns that a split makes; an input may not have them.
+OWN_COLUMNS = frozenset(
+    "start_lr end_lr metrics piece_no pieces joined_connectors added_connectors turn_restrictions refers is_success "
+    "error_message length_before_split length_after_split length_diff original_self_intersecting".split()
+)
 SPLIT_FIELDS = {"start_lr": "double", "end_lr": "double", "metrics": "map<string,string>"}
 
 
@@ -57,12 +64,22 @@ def assemble(features: DataFrame, pieces: DataFrame, split: DataFrame) -> DataFr
 
 
 def split_features(
-    features: DataFrame, filter_wkt: str | None = None, config: SplitConfig = DEFAULT_CONFIG
+    features: DataFrame,
+    filter_wkt: str | None = None,
+    config: SplitConfig = DEFAULT_CONFIG,
+    split_path: str | None = None,
 ) -> DataFrame:
-    """The whole split as one lazy plan, without stored stages; suits small tables."""
+    """The whole split without named stages; suits small tables.
+
+    Pieces, references and added connectors all come from the cut lines. Those are stored under
+    ``split_path`` if it is given, so that lines are cut once; otherwise all is one lazy plan.
+    """
     kept = spatial_filter(features, filter_wkt) if filter_wkt else features
     chosen = lr_columns(kept, config)
     split = split_segments(join_connectors(kept), chosen, config)
+    if split_path:
+        write_parquet(split, split_path)
+        split = read_parquet(features.sparkSession, split_path)
     return assemble(kept, explode_pieces(split, chosen, config), split)
 
 
@@ -76,19 +93,35 @@ def split_network(
     """Split the features that ``io`` reads, keep every stage, and return the result.
 
     Each stage is read back from storage, so nothing is computed twice and a lost executor
-    costs at most the tasks of one stage. Geometry is decoded once, where lines are cut. ``on_stage`` hears how many rows each stage wrote.
+    costs at most the tasks of one stage. Geometry is decoded once, where lines are cut. A stage is
+    only reused if it is whole and came from the same input, polygon and settings. ``on_stage``
+    hears how many rows each stage wrote.
     """
-
-    def stage(name: Stage, make: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()) -> DataFrame:
-        if not (config.reuse_existing_intermediate_outputs and io.check_exists(spark, name)):
-            with small_scan_tasks(spark):
-                store(name, make(), partition_by)
+    own = sorted(OWN_COLUMNS & set(io.read_stored(spark, Stage.read_input).columns))
+    if own:
+        raise ValueError(f"the input has columns that the split makes itself: {', '.join(own)}")
+    chosen_settings = {k: v for k, v in vars(config).items() if k != "reuse_existing_intermediate_outputs"}
+    settings = json.dumps([io.input_path, filter_wkt, chosen_settings], sort_keys=True)
+
+    def stage(
+        name: Stage, make: Callable[[], DataFrame], partition_by: tuple[str, ...] = (), heavy: bool = False
+    ) -> DataFrame:
+        if not (config.reuse_existing_intermediate_outputs and io.check_exists(spark, name, settings)):
+            df = make()
+            with spread_scan(df) if heavy else nullcontext():
+                store(name, df, partition_by)
         return io.read_stored(spark, name)
 
     def store(name: Stage, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
-        df, seen = counted(df, name.value)
-        io.write(df, name, partition_by)
-        if on_stage:
+        if not on_stage:
+            io.write(df, name, partition_by, settings)
+        elif io.custom_write_hook:
+            # A hook may write later, or not at once.
+            io.write(df, name, partition_by, settings)
+            on_stage(name, io.read_stored(spark, name).count())
+        else:
+            df, seen = counted(df, name.value)
+            io.write(df, name, partition_by, settings)
             on_stage(name, seen.get["rows"])
 
     def source() -> DataFrame:
@@ -99,7 +132,7 @@ def split_network(
     )
     chosen = lr_columns(features, config)
     joined = stage(Stage.joined, lambda: join_connectors(features))
-    split = stage(Stage.raw_split, lambda: split_segments(joined, chosen, config))
+    split = stage(Stage.raw_split, lambda: split_segments(joined, chosen, config), heavy=True)
     # Laid out by whether a piece refers to others, so that resolving reads each row once.
     pieces = stage(
         Stage.segment_splits_exploded,

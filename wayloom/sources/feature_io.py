@@ -21,6 +21,7 @@ GEOMETRY = "geometry"
 # How files are laid out.
 COMPRESSION = "zstd"
 ROW_GROUP_BYTES = 16 * 1024 * 1024
+TASKS_PER_CORE = 4
 
 
 class Stage(Enum):
@@ -78,26 +79,61 @@ class FeatureIO:
         if self.custom_read_hook:
             df = self.custom_read_hook(spark, stage, self._hook_path(stage))
         else:
-            merge = stage != Stage.raw_split
+            # Files of the input may differ in their columns; a stage's own files don't.
+            merge = stage == Stage.read_input
             df = read_parquet(spark, self.default_path_for_step(stage), merge)
         return df if stage == Stage.raw_split else with_valid_geometry(df)
 
-    def check_exists(self, spark: SparkSession, stage: Stage) -> bool:
+    def check_exists(self, spark: SparkSession, stage: Stage, settings: str = "") -> bool:
+        """Whether the stage is whole and was made with the same settings; a hook decides by itself."""
         if self.custom_exists_hook:
             return self.custom_exists_hook(spark, stage, self.output_path_prefix)
-        return parquet_exists(spark, self.default_path_for_step(stage))
+        return is_whole(spark, self.default_path_for_step(stage), settings)
 
-    def write(self, df: DataFrame, stage: Stage, partition_by: tuple[str, ...] = ()) -> None:
+    def write(self, df: DataFrame, stage: Stage, partition_by: tuple[str, ...] = (), settings: str = "") -> None:
         if self.custom_write_hook:
             self.custom_write_hook(df, stage, self.output_path_prefix)
-        elif stage == Stage.raw_split:
-            write_parquet(df, self.default_path_for_step(stage), partition_by)
+            return
+        path = self.default_path_for_step(stage)
+        unmark(df.sparkSession, path)
+        if stage == Stage.raw_split:
+            write_parquet(df, path, partition_by)
         else:
-            write_features(df, self.default_path_for_step(stage), partition_by)
+            write_features(df, path, partition_by)
+        mark_whole(df.sparkSession, path, settings)
+
+
+# A stage's mark lies beside it: its settings and how many rows it has. It is taken away before the
+# stage is written and set after the last file, so a stage that died on the way, or lost files
+# since, is made again.
+
+
+def _mark(spark: SparkSession, path: str, lines: list[str]) -> None:
+    marks = spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1)
+    marks.write.mode("overwrite").text(f"{path}.whole")
+
+
+def unmark(spark: SparkSession, path: str) -> None:
+    _mark(spark, path, [])
+
+
+def mark_whole(spark: SparkSession, path: str, settings: str = "") -> None:
+    rows = spark.read.parquet(path).count()
+    _mark(spark, path, [f"{rows} {settings}"])
+
+
+def is_whole(spark: SparkSession, path: str, settings: str = "") -> bool:
+    try:
+        marks = [r["value"] for r in spark.read.text(f"{path}.whole").take(2)]
+        return len(marks) == 1 and marks[0] == f"{spark.read.parquet(path).count()} {settings}"
+    except AnalysisException:
+        return False
 
 
 def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    """A Parquet table; with ``merge_schema`` its files may have different columns."""
+    reader = spark.read.format("parquet")
+    return (reader.option("mergeSchema", True) if merge_schema else reader).load(path)
 
 
 def read_features(
@@ -164,24 +200,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
 
 
 @contextmanager
-def small_scan_tasks(spark: SparkSession) -> Iterator[None]:
-    """Plan scans with one row group per task.
+def spread_scan(df: DataFrame) -> Iterator[None]:
+    """Plan the scans of a heavy stage with a few tasks for each core.
 
-    Cutting lines takes far more time per byte than reading them, so a task of the usual
-    128 MB would run for many minutes.
+    Cutting lines takes far more time per byte than reading them. So a small input is dealt over all
+    cores, down to one row group for each task; a large one keeps the session's task size.
     """
-    name = "spark.sql.files.maxPartitionBytes"
+    spark, name = df.sparkSession, "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(name)
-    spark.conf.set(name, str(ROW_GROUP_BYTES))
+    usual = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    stored = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    even = stored // (TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    spark.conf.set(name, str(min(usual, max(even, ROW_GROUP_BYTES))))
     try:
         yield
     finally:
         spark.conf.set(name, before)
-
-
-def parquet_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True

@@ -180,23 +180,38 @@ def _polygon_edges() -> str:
     return f"SELECT * FROM (VALUES {rows}) AS p(cx, cy, dx, dy)"
 
 
-@query(
-    "f1_spatial_filter",
-    """SELECT DISTINCT id FROM (
+MEETS_POLYGON = """SELECT DISTINCT id FROM (
         SELECT id, idx FROM allv, poly WHERE (cy > y) <> (dy > y) AND x < cx + (y - cy) * (dx - cx) / (dy - cy)
         GROUP BY id, idx HAVING count(*) % 2 = 1
         UNION ALL SELECT id, idx FROM alle, poly WHERE greatest(x, x2) >= least(cx, dx) AND greatest(cx, dx) >= least(x, x2)
             AND greatest(y, y2) >= least(cy, dy) AND greatest(cy, dy) >= least(y, y2)
             AND sign((x2 - x) * (cy - y) - (y2 - y) * (cx - x)) * sign((x2 - x) * (dy - y) - (y2 - y) * (dx - x)) <= 0
-            AND sign((dx - cx) * (y - cy) - (dy - cy) * (x - cx)) * sign((dx - cx) * (y2 - cy) - (dy - cy) * (x2 - cx)) <= 0)""",
-    poly=_polygon_edges(),
-    allv="SELECT seg::VARCHAR AS id, idx, x, y FROM vv UNION ALL SELECT cid, 0, x, y FROM con",
-    alle="""SELECT seg::VARCHAR AS id, idx, x, y, x2, y2 FROM em UNION ALL SELECT cid, 0, x, y, x, y FROM con""",
-)
+            AND sign((dx - cx) * (y - cy) - (dy - cy) * (x - cx)) * sign((dx - cx) * (y2 - cy) - (dy - cy) * (x2 - cx)) <= 0)"""
+MEETS_PARTS = {
+    "poly": _polygon_edges(),
+    "allv": "SELECT seg::VARCHAR AS id, idx, x, y FROM vv UNION ALL SELECT cid, 0, x, y FROM con",
+    "alle": """SELECT seg::VARCHAR AS id, idx, x, y, x2, y2 FROM em UNION ALL SELECT cid, 0, x, y, x, y FROM con""",
+}
+
+
+@query("f1_spatial_filter", MEETS_POLYGON, **MEETS_PARTS)
 def _(spark, sf_dir):
     return filters.spatial_filter(features(spark, sf_dir), POLYGON).select("id")
 
 
+@query("f1_boxed_filter", MEETS_POLYGON, **MEETS_PARTS)
+def _(spark, sf_dir):
+    def bound(pick_one, axis):
+        return pick_one(F.transform("geometry", lambda p: p[axis])).cast("float")
+
+    def boxed() -> DataFrame:
+        sides = (("xmin", F.array_min, "x"), ("xmax", F.array_max, "x"), ("ymin", F.array_min, "y"), ("ymax", F.array_max, "y"))
+        box = F.struct(*(bound(one, axis).alias(name) for name, one, axis in sides))
+        return features(spark, sf_dir).withColumn("bbox", box)
+
+    return filters.spatial_filter(stage(spark, sf_dir, "boxed", boxed), POLYGON).select("id")
+
+
 @query(
     "f3_within_box",
     """SELECT id FROM (SELECT seg::VARCHAR AS id, x, y FROM vv UNION ALL SELECT cid, x, y FROM con) GROUP BY id
@@ -536,6 +551,14 @@ def _(spark, sf_dir):
     return _open_connectors(pieces(spark, sf_dir))
 
 
+@query("l9b_connector_ids", "SELECT seg::VARCHAR AS id, piece_no, pos, cid AS connector_id FROM pcon")
+def _(spark, sf_dir):
+    listed = joined(spark, sf_dir).withColumn("connector_ids", F.transform("connectors", lambda c: c.connector_id))
+    cut = cutting.explode_pieces(cutting.split_segments(listed, chosen(spark, sf_dir)), chosen(spark, sf_dir))
+    opened = cut.select("id", "piece_no", F.posexplode("connector_ids").alias("pos", "connector_id"))
+    return opened.select("id", whole("piece_no"), whole("pos"), "connector_id")
+
+
 @query("l9_inner_connectors", PIECE_CONNECTORS, **OUTERMOST)
 def _(spark, sf_dir):
     config = SplitConfig(split_at_connectors=False)
@@ -692,6 +715,15 @@ def _(spark, sf_dir):
     return table.select(cutting.piece_key(F.col("id"), F.round("start_lr", 6), F.round("end_lr", 6)).alias("key"))
 
 
+@query("k1_reference_keys", "SELECT count(*) AS keys, count(DISTINCT (ref, s_lr, e_lr)) AS distinct_keys FROM dmatch")
+def _(spark, sf_dir):
+    resolved = references.resolve_references(pieces(spark, sf_dir), turns=False)
+    d = F.col("d")
+    key = cutting.piece_key(d.to_segment_id, d.to_segment_start_lr, d.to_segment_end_lr)
+    keys = resolved.select(F.explode("destinations").alias("d")).select(key.alias("key"))
+    return keys.agg(F.count("key").alias("keys"), F.count_distinct("key").alias("distinct_keys"))
+
+
 # ---------------------------------------------------------------- reports and whole results
 
 
@@ -778,6 +810,20 @@ def _(spark, sf_dir):
     return _final_rows(splitter.split_network(spark, io))
 
 
+@query("io8_hooked_split", FINAL_ROWS)
+def _(spark, sf_dir):
+    folder, source = f"{scratch(spark, sf_dir)}/hooked", stored_features(spark, sf_dir)
+
+    def read(session, name, _):
+        return read_parquet(session, source if name == Stage.read_input else f"{folder}-{name.value}")
+
+    def write(df, name, _):
+        write_parquet(df, f"{folder}-{name.value}")
+
+    io = FeatureIO(source, folder, read, lambda session, name, _: False, write)
+    return _final_rows(splitter.split_network(spark, io))
+
+
 @query("p3_one_plan_split", FINAL_ROWS)
 def _(spark, sf_dir):
     path = f"{scratch(spark, sf_dir)}/cut"

@@ -361,6 +361,46 @@ def test_lm_windows_are_causal_and_sum_to_one():
     assert np.allclose(together, [lm.log10_probabilities(model, [t])[0] for t in several], atol=1e-3)
 
 
+def test_tally_counts_every_text():
+    from collections import Counter
+
+    rng = random.Random(12)
+    encoder = tokens.byte_bpe(*tokens.default_paths())
+    classes = np.concatenate([np.random.default_rng(0).integers(1, lm.CLASSES, encoder.size), [0]])
+    texts = ["", " ", "a", "a b", " a", "a  b", "x   y", "é\n the", "tail ", *("".join(rng.choice("ab  \n.é") for _ in range(40)) for _ in range(80))]
+    tally = lm._Tally(encoder, classes)
+    for i in range(0, len(texts), 7):
+        tally.add(texts[i : i + 7])
+        if i % 3 == 0:
+            tally.settle()
+    tally.settle()
+    ids, pairs, seen = Counter(), Counter(), Counter()
+    for text in texts:
+        own = [*np.frombuffer(encoder.ids(text), "<u4").tolist(), encoder.size]
+        ids.update(own)
+        pairs.update(zip([lm.CLASSES, *classes[own[:-1]].tolist()], classes[own].tolist(), strict=True))
+        seen.update(lm.words_of(text))
+    assert {i: n for i, n in enumerate(tally.ids.tolist()) if n} == ids
+    assert {divmod(i, lm.CLASSES): n for i, n in enumerate(tally.pairs.tolist()) if n} == pairs
+    assert tally.words == seen
+
+
+def test_lm_scores_equal_the_trained_layer():
+    rng = np.random.default_rng(3)
+    model = _model(rng)
+    for name in ("out", "skip", "near"):
+        model.parts[name] = rng.standard_normal(model.parts[name].shape).astype(np.float32)
+    texts = [rng.integers(0, 12, n) for n in (70, 3, 16, 33)]
+    before, target, first, owner = lm.blocks_of([model.classes[t] for t in texts])
+    logits, _ = lm._forward(model.parts, model.pair_log, before, first)
+    logs = logits - np.log(np.exp(logits.astype(float)).sum(axis=1, keepdims=True))
+    flat = target.reshape(-1)
+    own = np.where(flat >= 0, logs[np.arange(len(flat)), np.maximum(flat, 0)], 0)
+    want = np.bincount(np.repeat(owner, lm.BLOCK), own) + [model.id_log[t].sum() for t in texts]
+    for size in (1, 2, 100):
+        assert np.allclose(lm.log10_probabilities(model, texts, size) * np.log(10), want, atol=1e-3)
+
+
 def test_lm_gradients():
     rng = np.random.default_rng(1)
     model = _model(rng)

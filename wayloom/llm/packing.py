@@ -113,10 +113,11 @@ def cut(docs: DataFrame, window: int, paths: tuple[str, str], with_ids: bool) ->
         encoder, part = byte_bpe(*paths), TaskContext.get().partitionId()
         seen = np.zeros(window + 1, dtype=np.int64)
         end = np.array([END_ID], dtype="<u4").tobytes()
-        for batch in row_batches(batches):
+        for batch in row_batches(batches, 4 << 20):
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = encoder.ids(text) + end
+            encoded = encoder.batch_ids(batch.column(1).to_pylist())
+            for doc, own in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                data = own.tobytes() + end
                 total = len(data) // 4
                 for start in range(0, total, window):
                     ids = data[4 * start : 4 * (start + window)]

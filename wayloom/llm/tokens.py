@@ -11,55 +11,115 @@ from __future__ import annotations
 import base64
 import functools
 import re
+from collections import defaultdict
+from collections.abc import Iterable
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
 import tiktoken
 from tokenizers import Tokenizer
 
-#: Chunks kept by a worker; about 100 MB.
+#: Chunks kept by a worker, up to a batch's more; about 60 MB.
 CACHE_ENTRIES = 400_000
-#: A longer chunk is encoded each time.
-CACHE_CHARS = 64
 _ODD = re.compile("\\s (?=\\s|\\Z)|[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f  ]|<\\|endoftext\\|>")
 
 
-class Chunks(dict):
-    """Ids of chunks by text; emptied when full, so memory stays bounded."""
-
-    def __init__(self, encode, prefix: str) -> None:
-        super().__init__()
-        self.encode, self.prefix = encode, prefix
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.encode(self.prefix + chunk), dtype="<u4").tobytes()
-        if len(chunk) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[chunk] = ids
-        return ids
+def is_odd(text: str) -> bool:
+    """Whether the text can't be cut before its blanks."""
+    return _ODD.search(text) is not None
 
 
 class ByteBpe:
-    """Encoder for a vocabulary given both as `tokenizers` JSON and as ranks."""
+    """Encoder for a vocabulary given both as `tokenizers` JSON and as ranks.
+
+    Chunks get numbers, and `flat` has their ids one after the other, so a batch of texts is encoded
+    by looking up its chunks and one gather. New chunks of a batch are encoded together. The table is
+    emptied when it is full, so memory stays bounded.
+    """
 
     def __init__(self, json_path: str, ranks_path: str) -> None:
         self.whole = Tokenizer.from_file(json_path)
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        encoding = tiktoken.Encoding(
+        self.encoding = tiktoken.Encoding(
             "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
         self.size = self.whole.get_vocab_size()
-        self.first = Chunks(encoding.encode_ordinary, "")
-        self.later = Chunks(encoding.encode_ordinary, " ")
+        self.bytes_of = np.zeros(self.size, dtype=np.int64)
+        self.bytes_of[list(ranks.values())] = list(map(len, ranks))
+        self.forget()
+
+    def forget(self) -> None:
+        numbers: dict[str, int] = defaultdict(lambda: len(numbers))
+        self.numbers = numbers
+        self.flat = np.zeros(0, dtype="<u4")
+        self.start = np.zeros(0, dtype=np.int64)
+        self.length = np.zeros(0, dtype=np.int64)
+
+    def whole_ids(self, text: str) -> np.ndarray:
+        """Ids of an odd text."""
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def head_ids(self, head: str) -> np.ndarray:
+        """Ids of what stands before the first blank."""
+        return np.array(self.encoding.encode_ordinary(head), dtype="<u4")
+
+    def numbered(self, rests: Iterable[list[str]], count: int) -> np.ndarray:
+        """Numbers of the chunks after first blanks, whose ids are in `flat` then."""
+        if len(self.numbers) > CACHE_ENTRIES:
+            self.forget()
+        found = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(rests)), np.int64, count)
+        new = list(islice(self.numbers, len(self.start), None))
+        if new:
+            self._look_at(new)
+        return found
+
+    def _look_at(self, new: list[str]) -> None:
+        # Chunks with white space at an end can't stand next to any other.
+        alone = [i for i, c in enumerate(new) if not c or c[0].isspace() or c[-1].isspace()]
+        others = new
+        if alone:
+            apart = set(alone)
+            others = [c for i, c in enumerate(new) if i not in apart]
+        length = np.zeros(len(new), dtype=np.int64)
+        together = np.array(self.encoding.encode_ordinary("".join([f" {c}" for c in others])), dtype="<u4")
+        ends = np.cumsum(np.fromiter((len(c.encode("utf-8", "surrogatepass")) + 1 for c in others), np.int64, len(others)))
+        stops = np.searchsorted(np.cumsum(self.bytes_of[together]), ends) + 1
+        place = np.ones(len(new), dtype=bool)
+        place[alone] = False
+        length[place] = np.diff(stops, prepend=0)
+        start = np.zeros(len(new), dtype=np.int64)
+        start[place] = stops - length[place]
+        parts, at = [self.flat, together], len(together)
+        for i in alone:
+            ids = self.head_ids(" " + new[i])
+            start[i], length[i], at = at, len(ids), at + len(ids)
+            parts.append(ids)
+        self.start = np.concatenate([self.start, start + len(self.flat)])
+        self.length = np.concatenate([self.length, length])
+        self.flat = np.concatenate(parts)
+
+    def batch_ids(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        found: list[np.ndarray | None] = [self.whole_ids(t) if is_odd(t) else None for t in texts]
+        rest = [t.split(" ") for t, ids in zip(texts, found, strict=True) if ids is None]
+        heads = [self.head_ids(chunks[0]) for chunks in rest]
+        sizes = np.array([len(chunks) - 1 for chunks in rest], dtype=np.int64)
+        numbers = self.numbered((islice(chunks, 1, None) for chunks in rest), int(sizes.sum()))
+        length = self.length[numbers]
+        stop = np.cumsum(length)
+        gathered = self.flat[np.repeat(self.start[numbers] - stop + length, length) + np.arange(stop[-1] if len(stop) else 0)]
+        ends = np.concatenate([[0], stop])[np.cumsum(sizes)]
+        start, tails = 0, iter(zip(heads, ends.tolist(), strict=True))
+        for i, ids in enumerate(found):
+            if ids is None:
+                head, end = next(tails)
+                found[i], start = np.concatenate([head, gathered[start:end]]), end
+        return found
 
     def ids(self, text: str) -> bytes:
-        if _ODD.search(text):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        chunks = text.split(" ")
-        head = self.first[chunks[0]]
-        return head + b"".join(map(self.later.__getitem__, chunks[1:])) if len(chunks) > 1 else head
+        return self.batch_ids([text])[0].tobytes()
 
 
 @functools.lru_cache(maxsize=2)

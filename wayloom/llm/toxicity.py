@@ -69,12 +69,11 @@ class Lexicon:
                 node.word = weight
                 if len(letters) >= FUZZY_LENGTH:
                     half = len(letters) // 2
-                    heads.add(letters[:half])
-                    tails.add(letters[half:])
+                    heads.add((len(letters), letters[:half]))
+                    tails.add((len(letters), letters[half:]))
             else:
                 node.beginning = weight
         self.heads, self.tails = frozenset(heads), frozenset(tails)
-        self.head_sizes, self.tail_sizes = sorted(set(map(len, heads))), sorted(set(map(len, tails)))
 
     def exact(self, word: str) -> float:
         """Weight of the best term that the word is or begins with."""
@@ -90,8 +89,9 @@ class Lexicon:
         if len(word) < FUZZY_LENGTH - 1:
             return 0.0
         # One edit leaves one half of the term in place, at the word's start or end.
-        if not any(word[:n] in self.heads for n in self.head_sizes) and not any(
-            word[-n:] in self.tails for n in self.tail_sizes
+        if not any(
+            (m, word[: m // 2]) in self.heads or (m, word[-(m - m // 2) :]) in self.tails
+            for m in range(max(FUZZY_LENGTH, len(word) - 1), len(word) + 2)
         ):
             return 0.0
         best, n = 0.0, len(word)

@@ -524,6 +524,35 @@ def test_contamination_with_a_large_benchmark(spark, monkeypatch):
     test_contamination(spark)
 
 
+def found_items(spark, texts, items):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    return {(r["doc_id"], r["item_id"]): r["reparameterised"] for r in decontaminate.find_contaminated(docs(spark, enumerate(texts)), bench).collect()}
+
+
+def test_contamination_of_items_with_few_literals(spark):
+    upper = "THE TREATY OF THE NORTHERN RIVERS WAS SIGNED BEFORE ANY WAR COULD BREAK OUT THERE"
+    sums = "12 + 30 = 42 and 7 * 8 = 56 , 9 - 4 = 5 ; 60 / 12 = 5 ; 81 - 80 = 1 ; 3 * 3 = 9"
+    mixed = "which of these numbers is the largest prime factor " + " ".join(map(str, range(1001, 1061)))
+    other = mixed.replace("10", "20")
+    texts = [
+        f"some words before {upper} and after it", f"here {sums} again", sums.replace("2", "6"), f"see {mixed} there",
+        f"see {other} there", upper.replace("TREATY", "PEACE").replace("RIVERS", "LAKES").replace("WAR", "ONE").replace("SIGNED", "MADE"),
+    ]
+    assert found_items(spark, texts, [upper, sums, mixed]) == {(0, 0): False, (1, 1): False, (3, 2): False, (4, 2): True}
+
+
+def test_contamination_by_short_items(spark):
+    items = ["the red fox", "what is the capital of France", "7 + 5", "name the seven old green sea gods now please", "blue"]
+    texts = [
+        "we saw that the red fox ran over the hills and far away", "so what is the capital of Spain and why is it there, they said",
+        "a sum such as 7 + 5 is an easy one for every child in here", "a sum such as 7 + 6 is an easy one for every child in here",
+        "Blue!", "the red", "red fox the red fox", None, "x " * 9 + "name the seven old green sea gods now please",
+    ]
+    assert found_items(spark, texts, items) == {
+        (0, 0): False, (1, 1): True, (2, 2): False, (4, 4): False, (6, 0): False, (8, 3): False
+    }
+
+
 # ------------------------------------------------------------------------- 10
 
 

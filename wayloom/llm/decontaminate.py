@@ -6,6 +6,9 @@ documents and items are hash-joined. Slot consistency then tells a re-parameteri
 chance: along one alignment of document and item, each value of the item must always have been
 replaced by the same value.
 
+Windows that are nearly all placeholders (titles, tables, sums) would meet by chance; they are joined by
+their values. Items shorter than a window are looked for as windows of their own length.
+
 The hash of a window is built by doubling (1, 2, 4, 8 tokens), so its cost does not grow with the
 window. The windows of the benchmark are broadcast if they have at most BROADCAST_WINDOWS rows;
 otherwise both sides are shuffled by window.
@@ -13,14 +16,16 @@ otherwise both sides are shuffled by window.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayloom.llm.common import scratch, stored, text_of
 
 #: Tokens of a window, a power of two.
 WINDOW = 8
-#: Of a window of the benchmark, so many tokens must be no placeholders.
+#: Windows with fewer tokens that are no placeholders are compared with their values.
 LEAST_LITERAL = 4
 #: Share of an item's windows that must be found in a document.
 LEAST_COVERAGE = 0.25
@@ -46,45 +51,105 @@ def template_tokens(text: Column) -> Column:
     return F.array_remove(tokens, "")
 
 
-def _windows(rows: DataFrame) -> DataFrame:
-    """`rows` with _tokens gets _windows: a hash for each window; one for all tokens if they are fewer, none without tokens."""
-    plain = lambda t: F.when(t < _PLAIN, F.substring(t, 1, 1)).otherwise(t)
-    rows = rows.withColumn("_h1", F.transform("_tokens", lambda t: F.xxhash64(plain(t))))
+def _doubled(rows: DataFrame, name: str, combine: Callable[[Column, Column], Column]) -> DataFrame:
+    """`rows` with {name}1, one value for each token, gets {name}2, {name}4, ...: combined over so many tokens from each place on."""
     size = 1
     while size < WINDOW:
-        here, there = f"_h{size}", F.slice(f"_h{size}", F.lit(size + 1), F.size("_tokens"))
-        doubled = F.zip_with(here, there, lambda a, b: F.xxhash64(a, b))
+        there = F.slice(f"{name}{size}", F.lit(size + 1), F.size("_tokens"))
+        rows = rows.withColumn(f"{name}{2 * size}", F.zip_with(f"{name}{size}", there, combine))
         size *= 2
-        rows = rows.withColumn(f"_h{size}", doubled).drop(here) if size > 2 else rows.withColumn("_h2", doubled)
-    full = F.slice(f"_h{WINDOW}", F.lit(1), F.greatest(F.size("_tokens") - (WINDOW - 1), F.lit(0)))
-    n = F.size("_tokens")
-    few = F.when(n > 0, F.array(F.xxhash64("_h1"))).otherwise(F.array().cast("array<bigint>"))
-    return rows.withColumn("_windows", F.when(n >= WINDOW, full).otherwise(few)).drop("_h1", f"_h{WINDOW}")
+    return rows
+
+
+def _of_length(name: str, length: int, combine: Callable[[Column, Column], Column]) -> Column:
+    """What `_doubled` made, put together for windows of `length` tokens."""
+    whole, at = None, 0
+    for size in (1 << i for i in reversed(range(WINDOW.bit_length()))):
+        if length & size:
+            part = F.slice(f"{name}{size}", F.lit(at + 1), F.size("_tokens"))
+            whole = part if whole is None else F.zip_with(whole, part, combine)
+            at += size
+    return F.slice(whole, F.lit(1), _count(F.lit(length)))
+
+
+def _count(length: Column) -> Column:
+    """Windows of `length` tokens in _tokens."""
+    return F.greatest(F.size("_tokens") - length + 1, F.lit(0))
+
+
+def _windows(rows: DataFrame, lengths: list[int]) -> DataFrame:
+    """`rows` with _tokens gets _windows: a hash for each window of each of the lengths, one length after the other.
+
+    It is the template's hash if the template has enough literal tokens; otherwise the values count as well.
+    """
+    plain = lambda t: F.when(t < _PLAIN, F.substring(t, 1, 1)).otherwise(t)
+    mixed, added = lambda a, b: F.xxhash64(a, b), lambda a, b: a + b
+    rows = rows.withColumn("_h1", F.transform("_tokens", lambda t: F.xxhash64(plain(t))))
+    literal = F.transform("_tokens", lambda t: (t >= _PLAIN).cast("int"))
+    rows = rows.withColumn("_literal", literal)
+    # Null where there are too few placeholders for a window with few literal tokens.
+    most = min(length - _least_literal(length) for length in lengths)
+    rows = rows.withColumn("_l1", F.when(F.size(F.array_remove("_literal", 1)) > most, F.col("_literal")))
+    rows = _doubled(_doubled(rows, "_h", mixed), "_l", added)
+
+    def hashes(length: int) -> Column:
+        whole = _of_length("_h", length, mixed)
+        each = F.arrays_zip(whole.alias("w"), _of_length("_l", length, added).alias("l"))
+        valued = lambda i: F.xxhash64(F.slice("_tokens", i + 1, F.lit(length)))
+        told = F.transform(each, lambda p, i: F.when(p["l"] >= _least_literal(length), p["w"]).otherwise(valued(i)))
+        return F.when(F.col("_l1").isNull(), whole).otherwise(told)
+
+    made = [f"_{name}{1 << i}" for name in "hl" for i in range(WINDOW.bit_length())]
+    return rows.withColumn("_windows", F.concat(*map(hashes, lengths))).drop("_literal", *made)
+
 
+def _least_literal(length: int) -> int:
+    return min(LEAST_LITERAL, length)
 
-def _benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """w, item_id, item_at, item_windows, item_slots (the window's tokens) of windows with enough literal tokens."""
+
+def _place(position: str, lengths: list[int]) -> Column:
+    """Where the window at a position of _windows begins, by its `length`; lengths descend."""
+    before = [F.when(F.col("length") < at, _count(F.lit(at))).otherwise(0) for at in lengths]
+    return F.col(position) - sum(before, F.lit(0))
+
+
+def _benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Windows of the items, and their lengths in tokens; items of fewer than WINDOW tokens are one window.
+
+    Columns: w, item_id, length, item_at, item_windows, item_tokens (the window's), literal (it has enough
+    literal tokens) and literal_windows (so many of the item's have).
+    """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), template_tokens(text_of()).alias("_tokens"))
-    items = _windows(items.where(F.col("item_id").isNotNull()).distinct())
-    each = items.select(
-        "item_id", "_tokens", F.size("_windows").alias("item_windows"), F.posexplode_outer("_windows").alias("item_at", "w")
+    items = items.where(F.col("item_id").isNotNull() & (F.size("_tokens") > 0)).distinct()
+    items = items.withColumn("length", F.least(F.size("_tokens"), F.lit(WINDOW)))
+    lengths = sorted((r["length"] for r in items.select("length").distinct().collect()), reverse=True) or [WINDOW]
+    count = _count(F.col("length"))
+    each = _windows(items, lengths).select(
+        "item_id", "_tokens", "length", count.alias("item_windows"), F.posexplode_outer("_windows").alias("_position", "w")
     )
-    window = F.slice("_tokens", F.col("item_at") + 1, F.lit(WINDOW))
-    each = each.select("w", "item_id", "item_at", "item_windows", window.alias("item_tokens"))
-    literal = F.size(F.filter("item_tokens", lambda t: t >= _PLAIN))
-    each = each.where(F.col("w").isNotNull())
-    return each.where(literal >= F.least(F.lit(LEAST_LITERAL), F.size("item_tokens")))
+    each = each.withColumn("item_at", _place("_position", lengths)).where(F.col("item_at").between(0, F.col("item_windows") - 1))
+    window = F.slice("_tokens", F.col("item_at") + 1, F.col("length"))
+    each = each.select("w", "item_id", "_tokens", "length", "item_at", "item_windows", window.alias("item_tokens"))
+    enough = F.size(F.filter("item_tokens", lambda t: t >= _PLAIN)) >= F.least(F.lit(LEAST_LITERAL), F.col("length"))
+    each = each.withColumn("literal", enough)
+    # An item id may have several texts.
+    total = F.sum(F.col("literal").cast("int")).over(Window.partitionBy("item_id", "_tokens"))
+    return each.withColumn("literal_windows", total).drop("_tokens"), lengths
 
 
 def find_contaminated(docs: DataFrame, benchmark: DataFrame, least_coverage: float = LEAST_COVERAGE) -> DataFrame:
     """doc_id, text_hash, item_id, windows (found), item_windows, coverage and reparameterised, by document and item.
 
     One row for each document and item of which `least_coverage` of the windows occur in the document with
-    consistent slots. Documents are told apart by doc_id and text, so repeated rows are reported once; a null id
-    stays null. Null or empty texts and items contain nothing; texts of fewer than WINDOW
-    tokens only match whole items with the same tokens. Items with a null id are left out. Other columns are not looked at.
+    consistent slots; windows with few literal tokens occur where the values are the same too. Since those
+    can't occur in a re-parameterised copy, `least_coverage` of the other windows is enough as well. coverage is
+    windows / item_windows. An item of fewer than WINDOW tokens is one window, looked for at every place, so a
+    one-word item is found in every document with that word. Documents are told apart by doc_id and text, so
+    repeated rows are reported once; a null id stays null. Null or empty texts and items contain nothing. Items
+    with a null id are left out. Other columns are not looked at.
     """
-    windows = stored(_benchmark_windows(benchmark), f"{scratch(docs.sparkSession)}/windows")
+    windows, lengths = _benchmark_windows(benchmark)
+    windows = stored(windows, f"{scratch(docs.sparkSession)}/windows")
     if windows.count() <= BROADCAST_WINDOWS:
         windows = F.broadcast(windows)
     rows = docs.select(
@@ -94,31 +159,37 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, least_coverage: flo
     )
     # The outer form: for the inner one Spark pushes a filter on the size of _windows down to the scan, and
     # with it copies of all that _windows is made of.
-    each = _windows(rows).select("doc_id", "text_hash", "_tokens", F.posexplode_outer("_windows").alias("_at", "w"))
-    met = each.join(windows, "w").select(
+    each = _windows(rows, lengths).select("doc_id", "text_hash", "_tokens", F.posexplode_outer("_windows").alias("_position", "w"))
+    met = each.join(windows, "w").withColumn("_at", _place("_position", lengths))
+    # Values of the slots: of the item, and of the document at the same place.
+    values = F.arrays_zip(F.col("item_tokens").alias("i"), F.slice("_tokens", F.col("_at") + 1, F.col("length")).alias("d"))
+    met = met.select(
         "doc_id",
         "text_hash",
         "item_id",
         "item_at",
         "item_windows",
+        "literal",
+        "literal_windows",
         (F.col("_at") - F.col("item_at")).alias("_shift"),
-        # Values of the slots: of the item, and of the document at the same place.
-        F.filter(
-            F.arrays_zip(F.col("item_tokens").alias("i"), F.slice("_tokens", F.col("_at") + 1, F.lit(WINDOW)).alias("d")),
-            lambda p: p["i"] < _PLAIN,
-        ).alias("_slots"),
+        # Windows found by their values say nothing of what other places replace.
+        F.filter(values, lambda p: F.col("literal") & (p["i"] < _PLAIN)).alias("_slots"),
     )
     slots = F.array_distinct(F.flatten(F.collect_set("_slots")))
-    aligned = met.groupBy("doc_id", "text_hash", "item_id", "item_windows", "_shift").agg(
-        F.collect_set("item_at").alias("_found"), slots.alias("_slots")
+    item = ["doc_id", "text_hash", "item_id", "item_windows", "literal_windows"]
+    aligned = met.groupBy(*item, "_shift").agg(
+        F.collect_set("item_at").alias("_found"),
+        F.collect_set(F.when(F.col("literal"), F.col("item_at"))).alias("_literal"),
+        slots.alias("_slots"),
     )
     consistent = F.size("_slots") == F.size(F.array_distinct(F.transform("_slots", lambda p: p["i"])))
     changed = F.exists("_slots", lambda p: p["i"] != p["d"])
-    per_item = aligned.where(consistent).groupBy("doc_id", "text_hash", "item_id", "item_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("_found")))).cast("long").alias("windows"),
-        F.max(changed).alias("reparameterised"),
+    places = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c)))).cast("long")
+    per_item = aligned.where(consistent).groupBy(*item).agg(
+        places("_found").alias("windows"), places("_literal").alias("_literal"), F.max(changed).alias("reparameterised")
     )
     coverage = F.col("windows") / F.col("item_windows")
-    return per_item.where(coverage >= least_coverage).select(
+    literal = (F.col("_literal") > 0) & (F.col("_literal") >= least_coverage * F.col("literal_windows"))
+    return per_item.where((coverage >= least_coverage) | literal).select(
         "doc_id", "text_hash", "item_id", "windows", "item_windows", coverage.alias("coverage"), "reparameterised"
     )

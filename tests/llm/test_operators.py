@@ -553,6 +553,15 @@ def test_contamination_by_short_items(spark):
     }
 
 
+def test_contamination_by_a_passage_of_a_long_item(spark):
+    rng = random.Random(5)
+    item = [f"w{rng.choice('abcdefgh')}{''.join(rng.choices('klmnopqrst', k=5))}" for _ in range(600)]
+    passage = lambda a, n: f"before it {' '.join(item[a : a + n])} and behind it"
+    scattered = " so ".join(" ".join(item[a : a + 20]) for a in range(0, 200, 40))
+    texts = [passage(300, 100), passage(0, 50), passage(550, 50), passage(300, 49), scattered]
+    assert found_items(spark, texts, [" ".join(item)]) == {(0, 0): False, (1, 0): False, (2, 0): False}
+
+
 # ------------------------------------------------------------------------- 10
 
 

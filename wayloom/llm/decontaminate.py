@@ -29,6 +29,8 @@ WINDOW = 8
 LEAST_LITERAL = 4
 #: Share of an item's windows that must be found in a document.
 LEAST_COVERAGE = 0.25
+#: So many windows of one alignment are enough whatever the item's length: 50 tokens in a row have as many.
+LONG_RUN = 50 - WINDOW + 1
 #: About 40 MB.
 BROADCAST_WINDOWS = 200_000
 _NAME, _NUMBER, _UNIT, _PLAIN = "\x01", "\x02", "\x03", "\x04"
@@ -142,8 +144,9 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, least_coverage: flo
 
     One row for each document and item of which `least_coverage` of the windows occur in the document with
     consistent slots; windows with few literal tokens occur where the values are the same too. Since those
-    can't occur in a re-parameterised copy, `least_coverage` of the other windows is enough as well. coverage is
-    windows / item_windows. An item of fewer than WINDOW tokens is one window, looked for at every place, so a
+    can't occur in a re-parameterised copy, `least_coverage` of the other windows is enough as well,
+    and so are LONG_RUN windows of one alignment, since a passage may be a small share of a long item. coverage
+    is windows / item_windows. An item of fewer than WINDOW tokens is one window, looked for at every place, so a
     one-word item is found in every document with that word. Documents are told apart by doc_id and text, so
     repeated rows are reported once; a null id stays null. Null or empty texts and items contain nothing. Items
     with a null id are left out. Other columns are not looked at.
@@ -186,10 +189,12 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, least_coverage: flo
     changed = F.exists("_slots", lambda p: p["i"] != p["d"])
     places = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c)))).cast("long")
     per_item = aligned.where(consistent).groupBy(*item).agg(
-        places("_found").alias("windows"), places("_literal").alias("_literal"), F.max(changed).alias("reparameterised")
-    )
+        places("_found").alias("windows"), places("_literal").alias("_literal"), F.max(changed).alias("reparameterised"),
+        F.max(F.size("_found")).alias("_longest"),
+    )
     coverage = F.col("windows") / F.col("item_windows")
     literal = (F.col("_literal") > 0) & (F.col("_literal") >= least_coverage * F.col("literal_windows"))
-    return per_item.where((coverage >= least_coverage) | literal).select(
+    long = F.col("_longest") >= LONG_RUN
+    return per_item.where((coverage >= least_coverage) | literal | long).select(
         "doc_id", "text_hash", "item_id", "windows", "item_windows", coverage.alias("coverage"), "reparameterised"
     )

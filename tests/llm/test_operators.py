@@ -181,6 +181,27 @@ def test_jaccard_components(spark, monkeypatch, rounds, block):
     assert sorted(map(tuple, got), key=order) == sorted(want, key=order)
 
 
+@pytest.mark.parametrize("block", [10**6, 300])
+def test_jaccard_counts_every_link(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block)
+    rng = random.Random(3)
+    rows = [None, "", "lonely words"]
+    for size in (40, 6, 2, 1):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        for _ in range(size):
+            copy = list(base)
+            for _ in range(rng.randint(0, 3)):
+                copy[rng.randrange(len(copy))] = f"edit{rng.randrange(4)}"
+            rows.append(" ".join(copy))
+    rows += rows[3:8]
+    table = list(enumerate(rows))
+    sets = [shingle_set(t) for t in rows]
+    near = lambda a, b: 100 * len(a & b) >= 80 * len(a | b) and bool(a)
+    want = {i: sum(near(sets[i], sets[j]) for j in range(len(sets)) if i != j) for i in range(len(sets))}
+    got = jaccard.near_duplicates(docs(spark, table)).collect()
+    assert {r["doc_id"]: r["n_links"] for r in got} == want
+
+
 def test_gaps_keep_shingles():
     rng = np.random.default_rng(0)
     for entries in (rng.integers(0, 2**64, n, dtype=np.uint64) for n in (1, 2, 50, 200_000)):

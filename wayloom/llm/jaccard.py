@@ -6,12 +6,12 @@
 3. Size bounds: partners overlap in at least 80 % of the larger set. A class of which fewer
    shingles are shared has none. The others put their shingles in order, rarest first; partners meet
    in the first n - ceil(0.8 n) + 1 of them.
-4. Overlaps are counted exactly for pairs of classes that meet. Since the result is the connected
-   components, pairs already known to be connected are not counted: in ROUNDS rounds, every class
-   that meets others is compared with one pivot of each posting list, so a large group of near
-   copies costs a star and not its square. Lists in which components still meet are put together
-   by pivot, and the sparse product of their classes outside the largest component with all of
-   them is taken block by block; only links come out. No link that joins two components is lost.
+4. Overlaps are counted exactly for pairs of classes that meet. In ROUNDS rounds, every class that meets
+   others is compared with one pivot of each posting list, which connects most of what belongs together.
+   Then all posting lists are put together by pivot, and the sparse product of the classes of a group
+   with each other is taken block by block, so every link is counted, in one group of those that its
+   classes share. Out come each class's number of linked rows and, of the links that join two
+   components, one for each component, so a large group of near copies gives no square of rows.
 """
 
 from __future__ import annotations
@@ -197,8 +197,11 @@ def _links(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     return met.where(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
 
 
-def _connected(rows: DataFrame, percent: int, base: str) -> DataFrame:
-    """node and label of all classes that link with another class."""
+def _connected(rows: DataFrame, copies: DataFrame, percent: int, base: str) -> tuple[DataFrame, DataFrame]:
+    """node and label of all classes that link with another class, and the number of rows (linked) that each (set_key) links with.
+
+    `copies` has the number of rows of each class; a class's own rows are not among `linked`.
+    """
     posts = rows.select("set_key", "n", F.explode(F.slice("shingles", F.lit(1), F.col("prefix"))).alias("shingle"))
     several = posts.groupBy("shingle").agg(F.count("*").alias("_n")).where("_n > 1").select("shingle")
     posts = stored(posts.join(several, "shingle"), f"{base}/posts")
@@ -232,70 +235,96 @@ def _connected(rows: DataFrame, percent: int, base: str) -> DataFrame:
         pairs = pairs.where(_sized("n", "p.n", percent)).select("set_key", F.col("p.set_key").alias("other"))
         compare(pairs, f"round{round_no}")
 
-    lists = stored(mixed("rest"), f"{base}/rest")
-    found = stored(_block_links(lists, rows, percent, base), f"{base}/links-rest")
-    return components(found if links is None else links.union(found), f"{base}/components-rest")
+    lists = stored(labelled(), f"{base}/rest")
+    product = stored(_block_links(lists, rows, copies, percent, base), f"{base}/links-rest")
+    found = product.where("b is not null").select("a", "b")
+    counts = product.where("linked is not null").groupBy(F.col("a").alias("set_key")).agg(F.sum("linked").alias("linked"))
+    return components(found if links is None else links.union(found), f"{base}/components-rest"), counts
 
 
-def _block_links(lists: DataFrame, rows: DataFrame, percent: int, base: str) -> DataFrame:
-    """Links (a, b) between components that meet in posting lists (shingle, set_key, n, label).
+def _block_links(lists: DataFrame, rows: DataFrame, copies: DataFrame, percent: int, base: str) -> DataFrame:
+    """From posting lists (shingle, set_key, n, label): rows (a, null, linked), parts of the number of rows
+    that link with class a, and links (a, b) between components.
 
-    Lists with the same pivot make a group. Its classes outside its largest component (the left side)
-    are multiplied with all its classes, in blocks of about BLOCK_SHINGLES a side.
+    Lists with the same pivot make a group. Its classes are multiplied with each other, in blocks of
+    about BLOCK_SHINGLES a side. Two classes that share several groups are counted in the least of them.
     """
     pivot = F.min(F.struct(F.xxhash64("set_key"), "set_key")).alias("p")
-    group = lists.groupBy("shingle").agg(pivot).select("shingle", F.col("p.set_key").alias("group"))
+    # The order of the pivots' hashes, so that the least shared group is the largest one as a rule.
+    group = lists.groupBy("shingle").agg(pivot).select("shingle", F.xxhash64("p.set_key").alias("group"))
     members = stored(lists.join(group, "shingle").select("group", "set_key", "n", "label").distinct(), f"{base}/members")
-    parts = members.groupBy("group", "label").agg(F.sum("n").alias("_n"))
-    sizes = parts.groupBy("group").agg(F.max(F.struct("_n", "label")).alias("_top"), F.sum("_n").alias("_all"))
-    members = members.join(sizes, "group").join(rows.drop("prefix", "n"), "set_key")
-    left_size = F.col("_all") - F.col("_top._n")
-    shares = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK_SHINGLES)).cast("int")
-    place = lambda n: F.pmod(F.xxhash64(F.lit("place"), "set_key"), shares(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), shares(n) - 1))
-    kept = ["group", "set_key", "n", "label", "shingles"]
-    left = members.where(F.col("label") != F.col("_top.label")).select(
-        *kept, place(left_size).alias("_i"), every(F.col("_all")).alias("_j"), F.lit(True).alias("_left")
-    )
-    right = members.select(
-        *kept, place(F.col("_all")).alias("_j"), every(left_size).alias("_i"), F.lit(False).alias("_left")
-    )
+    parts = members.groupBy("group").agg(F.sum("n").alias("_all"), F.count("*").alias("_members")).where("_members > 1")
+    groups = members.groupBy("set_key").agg(F.collect_set("group").alias("groups"))
+    members = members.join(parts.drop("_members"), "group").join(groups, "set_key").join(rows.drop("prefix", "n"), "set_key")
+    members = members.join(copies, "set_key")
+    shares = F.greatest(F.lit(1), F.ceil(F.col("_all") / BLOCK_SHINGLES)).cast("int")
+    place = F.pmod(F.xxhash64(F.lit("place"), "set_key"), shares).cast("int")
+    every = F.explode(F.sequence(F.lit(0), shares - 1))
+    earlier = F.filter("groups", lambda g: g < F.col("group")).alias("earlier")
+    kept = ["group", "set_key", "n", "label", "copies", "shingles", earlier]
+    left = members.select(*kept, place.alias("_i"), every.alias("_j"), F.lit(True).alias("_left"))
+    right = members.select(*kept, place.alias("_j"), every.alias("_i"), F.lit(False).alias("_left"))
 
     def run(table: pa.Table) -> pa.Table:
-        key, n, label, is_left = (table.column(c).to_numpy() for c in ("set_key", "n", "label", "_left"))
-        lists = table.column("shingles").combine_chunks()
-        tokens = lists.flatten().to_numpy()
-        owner = np.repeat(np.arange(len(key)), np.diff(lists.offsets.to_numpy()))
-        # The right side by columns: the classes that have a token.
-        on_right = ~is_left[owner]
-        order = np.argsort(tokens[on_right], kind="stable")
-        column, entry = tokens[on_right][order], owner[on_right][order]
-        starts = np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
-        links: list[tuple[int, int]] = []
+        key, n, label, copies, is_left = (table.column(c).to_numpy() for c in ("set_key", "n", "label", "copies", "_left"))
+        shared = _Product(table.column("shingles"), ~is_left)
+        before = _Product(table.column("earlier"), ~is_left)
+        # Components as far as this block knows them.
+        _, local = np.unique(label, return_inverse=True)
+        rows: list[tuple[int, int | None, int | None]] = []
         for i in np.flatnonzero(is_left):
-            own = tokens[starts[i] : starts[i + 1]]
-            begin, end = np.searchsorted(column, own), np.searchsorted(column, own, side="right")
-            overlap = np.zeros(len(key), dtype=np.int64)
-            total = np.cumsum(end - begin)
-            for part in np.split(np.arange(len(own)), np.searchsorted(total, np.arange(BLOCK_SHINGLES, total[-1], BLOCK_SHINGLES))):
-                counts = (end - begin)[part]
-                at = np.repeat(begin[part] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-                overlap += np.bincount(entry[at], minlength=len(key))
-            linked = (100 * overlap >= percent * (n[i] + n - overlap)) & (overlap > 0) & (label != label[i])
-            if linked.any():
+            new = ~is_left & (key != key[i]) & (before.overlaps(i) == 0)
+            if not new.any():
+                continue
+            overlap = shared.overlaps(i)
+            where = np.flatnonzero(new & (overlap > 0) & (100 * overlap >= percent * (n[i] + n - overlap)))
+            if not len(where):
+                continue
+            rows.append((int(key[i]), None, int(copies[where].sum())))
+            other = where[local[where] != local[i]]
+            if len(other):
                 # One link to each component is enough.
-                where = np.flatnonzero(linked)
-                _, first = np.unique(label[where], return_index=True)
-                links += [(int(key[i]), int(key[j])) for j in where[first]]
-        a, b = zip(*links, strict=True) if links else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                names, first = np.unique(local[other], return_index=True)
+                rows += [(int(key[i]), int(key[j]), None) for j in other[first]]
+                local[np.isin(local, names)] = local[i]
+        a, b, linked = zip(*rows, strict=True) if rows else ((), (), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "linked": pa.array(linked, pa.int64())})
 
     blocks = left.unionByName(right).groupBy("group", "_i", "_j")
-    return blocks.applyInArrow(run, "a bigint, b bigint")
+    return blocks.applyInArrow(run, "a bigint, b bigint, linked bigint")
+
+
+class _Product:
+    """Overlaps of one row of a list column with all rows that are `on_right`, in parts of BLOCK_SHINGLES."""
+
+    def __init__(self, column: pa.ChunkedArray, on_right: np.ndarray) -> None:
+        lists = column.combine_chunks()
+        counts = np.diff(lists.offsets.to_numpy())
+        self.tokens = lists.flatten().to_numpy()
+        self.starts = np.concatenate([[0], np.cumsum(counts)])
+        owner = np.repeat(np.arange(len(counts)), counts)
+        used = on_right[owner]
+        order = np.argsort(self.tokens[used], kind="stable")
+        # The right side by columns: the rows that have a token.
+        self.column, self.entry = self.tokens[used][order], owner[used][order]
+
+    def overlaps(self, i: int) -> np.ndarray:
+        own = self.tokens[self.starts[i] : self.starts[i + 1]]
+        overlap = np.zeros(len(self.starts) - 1, dtype=np.int64)
+        if not len(own):
+            return overlap
+        begin, end = np.searchsorted(self.column, own), np.searchsorted(self.column, own, side="right")
+        total = np.cumsum(end - begin)
+        for part in np.split(np.arange(len(own)), np.searchsorted(total, np.arange(BLOCK_SHINGLES, total[-1], BLOCK_SHINGLES))):
+            counts = (end - begin)[part]
+            at = np.repeat(begin[part] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            overlap += np.bincount(self.entry[at], minlength=len(overlap))
+        return overlap
 
 
 def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id reachable by links), set_key and text_hash of every row.
+    """doc_id, n_shingles, component_id (least doc_id reachable by links), set_key (the row's class), text_hash and
+    n_links (other rows that it links with) of every row.
 
     Two rows link when their sets of distinct `size`-word shingles have a Jaccard similarity of
     `percent` / 100 or more. Rows without words link with nothing and keep their own doc_id. Repeated
@@ -308,12 +337,15 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     blocks = max(32, entries // BLOCK_ENTRIES)
     shared = _shared_entries(_incidence(docs, size, blocks), blocks)
     rows = stored(_candidates(shared, percent), f"{base}/rows")
-    labels = _connected(rows, percent, base)
-    classes = keys.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("least_id"))
-    classes = classes.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left")
+    classes = keys.where(F.col("set_key").isNotNull()).groupBy("set_key")
+    classes = stored(classes.agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies")), f"{base}/copies")
+    labels, counts = _connected(rows, classes.select("set_key", "copies"), percent, base)
+    classes = classes.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").join(counts, "set_key", "left")
     classes = stored(classes.withColumn("label", F.coalesce("label", "set_key")), f"{base}/classes")
     least = classes.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    ids = stored(classes.join(least, "label").select("set_key", "component_id"), f"{base}/ids")
+    n_links = (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    ids = stored(classes.join(least, "label").select("set_key", "component_id", n_links), f"{base}/ids")
     found = keys.join(ids, "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), "set_key", "text_hash")
+    links = F.coalesce("n_links", F.lit(0)).alias("n_links")
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), "set_key", "text_hash", links)

@@ -10,6 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayloom.operators.skew import salted_join
+
+#: Most rows of a narrow table that is sent to all tasks: about 50 MB of keys and values.
+BROADCAST_ROWS = 500_000
 #: What the contracts call white space: a blank and U+0009 to U+000D.
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -34,6 +38,27 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+def join_by_label(rows: DataFrame, per_label: DataFrame, label: str, spread_by: str = "vec_id") -> DataFrame:
+    """Each row with the columns of its label's one row; null labels meet as well, no row is lost.
+
+    A small table of labels is sent to all tasks; a larger one is joined by shuffling, with the rows of
+    labels that hold more than an even share dealt over several tasks.
+    """
+    keys = {"_absent": F.col(label).isNull(), "_key": F.coalesce(F.col(label).cast("string"), F.lit(""))}
+    left, right = rows.withColumns(keys), per_label.withColumns(keys).drop(label)
+    if right.count() <= BROADCAST_ROWS:
+        joined = left.join(F.broadcast(right), [*keys], "left")
+    else:
+        joined = salted_join(left, right, [*keys], "left", [F.col(spread_by)])
+    return joined.drop(*keys)
+
+
 def fold(key: str | Column, modulus: int) -> Column:
     """crc32 of the key's text modulo `modulus`; a null key counts as an empty text."""
     c = F.col(key) if isinstance(key, str) else key

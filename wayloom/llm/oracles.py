@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wayloom.llm import decontaminate, secrets, url_filter
+from wayloom.llm import codes, decontaminate, secrets, url_filter
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -131,3 +131,32 @@ def url_filters() -> str:
       ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY row_no)
     SELECT page_id, host, path, rule, coalesce(action, CASE WHEN {loose} THEN 'block' ELSE 'allow' END) AS verdict
     FROM h LEFT JOIN fits USING (row_no)"""
+
+
+def vector_codes() -> str:
+    """Plain rounds: every part against every entry, then the floor of the mean."""
+    n, k = codes.PARTS, codes.ENTRIES
+    steps = []
+    for turn in range(codes.ROUNDS + 1):
+        steps.append(f"""a{turn} AS MATERIALIZED (SELECT row_no, part, x, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM
+      (SELECT row_no, part, x, entry, list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+       FROM parts JOIN b{turn} USING (part)) GROUP BY ALL)""")
+        if turn < codes.ROUNDS:
+            steps.append(f"""s{turn} AS (SELECT part, entry, i, floor(sum(v)::DOUBLE / count(*))::BIGINT AS v FROM
+      (SELECT part, entry, unnest(range(len(x))) AS i, unnest(x) AS v FROM a{turn}) GROUP BY ALL),
+    b{turn + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.c, b.c) AS c FROM b{turn} b LEFT JOIN
+      (SELECT part, entry, list(v ORDER BY i) AS c FROM s{turn} GROUP BY ALL) m USING (part, entry))""")
+    last = codes.ROUNDS
+    return f"""
+    WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS row_no, vec_id, label,
+      list_transform(embedding, lambda x: floor({codes.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+      WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (SELECT row_no, part, v[part * len(v) // {n} + 1:(part + 1) * len(v) // {n}] AS x
+      FROM kept, (SELECT unnest(range({n})) AS part)),
+    b0 AS MATERIALIZED (SELECT part, row_no AS entry, x AS c FROM parts WHERE row_no < {k}),
+    {", ".join(steps)},
+    per AS (SELECT row_no, string_agg(lower(lpad(to_hex(entry), 2, '0')), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+      FROM a{last} GROUP BY row_no),
+    book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS sha FROM b{last})
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, sha AS codebooks_sha256
+    FROM kept JOIN per USING (row_no) CROSS JOIN book"""

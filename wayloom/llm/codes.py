@@ -62,7 +62,7 @@ def matrix(vectors: pa.ListArray, width: int) -> np.ndarray:
     lengths = np.asarray(vectors.value_lengths())
     flat = vectors.flatten().to_numpy(zero_copy_only=False)
     if (lengths == width).all():
-        return flat.reshape(-1, width)
+        return flat.reshape(len(lengths), width)
     out = np.zeros((len(lengths), width), np.int64)
     out[np.arange(width) < lengths[:, None]] = flat
     return out

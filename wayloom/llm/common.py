@@ -44,19 +44,22 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
-def join_by_label(rows: DataFrame, per_label: DataFrame, label: str, spread_by: str = "vec_id") -> DataFrame:
-    """Each row with the columns of its label's one row; null labels meet as well, no row is lost.
+def join_few(left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[Column]) -> DataFrame:
+    """Left join with a table that has one row for each key; no row is lost.
 
-    A small table of labels is sent to all tasks; a larger one is joined by shuffling, with the rows of
-    labels that hold more than an even share dealt over several tasks.
+    A small table is sent to all tasks; a larger one is joined by shuffling, with the rows of keys that
+    hold more than an even share dealt over several tasks.
     """
+    if right.count() <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), keys, "left")
+    return salted_join(left, right, keys, "left", spread_by)
+
+
+def join_by_label(rows: DataFrame, per_label: DataFrame, label: str, spread_by: str = "vec_id") -> DataFrame:
+    """Each row with the columns of its label's one row; null labels meet as well."""
     keys = {"_absent": F.col(label).isNull(), "_key": F.coalesce(F.col(label).cast("string"), F.lit(""))}
     left, right = rows.withColumns(keys), per_label.withColumns(keys).drop(label)
-    if right.count() <= BROADCAST_ROWS:
-        joined = left.join(F.broadcast(right), [*keys], "left")
-    else:
-        joined = salted_join(left, right, [*keys], "left", [F.col(spread_by)])
-    return joined.drop(*keys)
+    return join_few(left, right, [*keys], [F.col(spread_by)]).drop(*keys)
 
 
 def fold(key: str | Column, modulus: int) -> Column:

@@ -133,6 +133,31 @@ def url_filters() -> str:
     FROM h LEFT JOIN fits USING (row_no)"""
 
 
+def prefix_trie() -> str:
+    """Every prefix spelled out as a list of its turns; a crc32 bit by bit."""
+    crc = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda x: x::BIGINT)),
+        lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+    return f"""
+    WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, sha256(concat(length(role), ':', role, text))) AS own
+      FROM t GROUP BY conv_id),
+    h AS (SELECT conv_id, own, {crc} % 9 AS h FROM c),
+    r AS MATERIALIZED (SELECT h.conv_id, list_concat(coalesce(b.own[1:h.h], []), h.own[h.h + 1:]) AS turns
+      FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 5),
+    p AS (SELECT conv_id, len(turns) AS n, unnest(range(len(turns) + 1)) AS depth, turns FROM r),
+    m AS MATERIALIZED (SELECT conv_id, n, depth, turns[1:depth] AS prefix FROM p),
+    nodes AS MATERIALIZED (SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+      coalesce(sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth)), sha256('')) AS ends_sha256,
+      CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * strlen(prefix[depth].text) END AS saved FROM m GROUP BY prefix, depth),
+    kids AS (SELECT prefix[1:depth - 1] AS prefix, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+    k AS MATERIALIZED (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (prefix, depth)),
+    below AS (SELECT prefix[1:up] AS prefix, up AS depth, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+      FROM (SELECT *, unnest(range(depth + 1)) AS up FROM k) GROUP BY 1, 2)
+    SELECT k.conv_id, k.depth, a.conv_id AS parent_conv_id, k.n_convs, k.n_children, n_leaves, saved_tokens, k.ends_sha256
+    FROM k JOIN below USING (prefix, depth) LEFT JOIN nodes a ON a.depth = k.depth - 1 AND a.prefix = k.prefix[1:k.depth - 1]"""
+
+
 def vector_codes() -> str:
     """Plain rounds: every part against every entry, then the floor of the mean."""
     n, k = codes.PARTS, codes.ENTRIES

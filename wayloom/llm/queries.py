@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayloom.llm import codes, decontaminate, jaccard, language, lines, lm, oracles, packing, secrets, topk, toxicity, url_filter
+from wayloom.llm import codes, decontaminate, jaccard, language, lines, lm, oracles, packing, prefixes, secrets, topk, toxicity, url_filter
 from wayloom.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).drop("pattern")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.digest(codes.compress(table(spark, sf_dir, "embeddings")))
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Query] = {
         op8_exact_top_k,
         op9_decontamination,
         op10_url_filters,
+        op12_prefix_trie,
         op13_vector_codes,
     )
 }
@@ -96,5 +101,6 @@ ORACLES: dict[str, str] = {
     "op8_exact_top_k": oracles.exact_top_k(),
     "op9_decontamination": oracles.decontamination(),
     "op10_url_filters": oracles.url_filters(),
+    "op12_prefix_trie": oracles.prefix_trie(),
     "op13_vector_codes": oracles.vector_codes(),
 }

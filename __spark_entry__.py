@@ -17,16 +17,13 @@ from wayloom.functions.polygon import polygon_rings
 from wayloom.operators import cutting, filters, network, placement, references, reports
 from wayloom.plans import derived, splitter
 from wayloom.plans.config import SplitConfig
-from wayloom.sources import catalog
+from wayloom.sources import catalog, manifests
 from wayloom.sources.feature_io import (
     FeatureIO,
     Stage,
-    is_whole,
-    mark_whole,
     read_features,
     read_parquet,
     spread_scan,
-    unmark,
     write_features,
     write_parquet,
 )
@@ -63,24 +60,28 @@ def scratch(spark: SparkSession, sf_dir: str) -> str:
 
 def stage(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
     """A step that many queries start from, computed once per session and read back."""
+    return read_parquet(spark, manifests.location(spark, _stage(spark, sf_dir, name, make)))
+
+
+def _stage(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> str:
     path = f"{scratch(spark, sf_dir)}/{name}"
-    if not is_whole(spark, path):
-        df = make()
-        unmark(spark, path)
-        with spread_scan(df):
-            write_parquet(df, path)
-        mark_whole(spark, path)
-    return read_parquet(spark, path)
+    if not manifests.is_whole(spark, manifests.current(spark, path)):
+
+        def fill(folder: str) -> None:
+            df = make()
+            with spread_scan(df):
+                write_parquet(df, folder)
+
+        manifests.add_version(spark, path, fill)
+    return path
 
 
 def stored_features(spark: SparkSession, sf_dir: str) -> str:
     """Path of the features as a user stores them, with binary geometry."""
     path = f"{scratch(spark, sf_dir)}/stored"
-    if not is_whole(spark, path):
-        unmark(spark, path)
-        write_features(features(spark, sf_dir), path)
-        mark_whole(spark, path)
-    return path
+    if not manifests.is_whole(spark, manifests.current(spark, path)):
+        manifests.add_version(spark, path, lambda folder: write_features(features(spark, sf_dir), folder))
+    return manifests.location(spark, path)
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +164,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     result = final(spark, sf_dir)
     spark.sql("DROP TABLE IF EXISTS wayloom_split")
-    catalog.publish(spark, "wayloom_split", f"{scratch(spark, sf_dir)}/final", result.schema)
+    catalog.publish(spark, "wayloom_split", manifests.location(spark, f"{scratch(spark, sf_dir)}/final"), result.schema)
     return reports.type_counts(spark.table("wayloom_split"))
 
 
@@ -803,6 +804,44 @@ def _(spark, sf_dir):
     return _final_rows(splitter.split_network(spark, io))
 
 
+def _staged(spark: SparkSession, sf_dir: str) -> FeatureIO:
+    """A finished run over the stored features, made once per session."""
+    io = FeatureIO(stored_features(spark, sf_dir), f"{scratch(spark, sf_dir)}/reported")
+    if not io.manifest(spark, Stage.final_output):
+        splitter.split_network(spark, io)
+    return io
+
+
+@query(
+    "a11_stage_counts",
+    """SELECT '2_joined' AS stage, count(*) AS rows FROM net UNION ALL SELECT '3_raw_split', count(*) FROM net UNION ALL
+    SELECT '4_segments_splits', count(*) FROM piece UNION ALL SELECT 'final', (SELECT count(*) FROM piece) +
+    (SELECT count(*) FROM con) + (SELECT count(*) FROM added WHERE seg NOT IN (SELECT seg FROM fail))""",
+)
+def _(spark, sf_dir):
+    found = splitter.run_report(spark, _staged(spark, sf_dir))
+    return found.filter("report = 'rows'").select("stage", F.col("value").alias("rows"))
+
+
+@query(
+    "p3_run_report",
+    """SELECT 'lengths' AS report, 'total_length_before_split' AS key, b AS value FROM sums UNION ALL
+    SELECT 'lengths', 'total_length_after_split', f FROM sums UNION ALL SELECT 'lengths', 'length_removed', r FROM sums UNION ALL
+    SELECT 'lengths', 'length_added', g FROM sums UNION ALL
+    SELECT 'outcomes', coalesce(reason, ''), sum(greatest(n, 1))::BIGINT FROM (SELECT net.seg, reason, count(piece_no) AS n
+      FROM net LEFT JOIN fail USING (seg) LEFT JOIN piece USING (seg) GROUP BY net.seg, reason) GROUP BY reason UNION ALL
+    SELECT 'splits', n::VARCHAR, count(*) FROM (SELECT count(*) AS n FROM piece GROUP BY seg) GROUP BY n UNION ALL
+    SELECT 'types', 'segment', count(*) FROM piece UNION ALL SELECT 'types', 'connector', (SELECT count(*) FROM con) +
+      (SELECT count(*) FROM added WHERE seg NOT IN (SELECT seg FROM fail)) UNION ALL
+    SELECT 'metrics', concat(key, ' ', value), count(*) FROM metric GROUP BY key, value""",
+    sums="""SELECT trunc(sum(before))::BIGINT AS b, trunc(sum(after))::BIGINT AS f,
+      trunc(sum(CASE WHEN after < before THEN after - before ELSE 0e0 END))::BIGINT AS r,
+      trunc(sum(CASE WHEN after > before THEN after - before ELSE 0e0 END))::BIGINT AS g FROM audit""",
+)
+def _(spark, sf_dir):
+    return splitter.run_report(spark, _staged(spark, sf_dir)).filter("report <> 'rows'").select("report", "key", "value")
+
+
 @query("io10_reused_split", FINAL_ROWS)
 def _(spark, sf_dir):
     io = FeatureIO(stored_features(spark, sf_dir), f"{scratch(spark, sf_dir)}/reused")

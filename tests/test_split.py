@@ -1,6 +1,7 @@
 """Whole splits of small hand-made features."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from shapes import as_pairs
@@ -8,8 +9,9 @@ from shapes import as_pairs
 from wayloom import FeatureIO, SplitConfig, Stage, split_features, split_network
 from wayloom.functions.geodesy import distance
 from wayloom.operators import cutting, network, reports
-from wayloom.sources import catalog
-from wayloom.sources.feature_io import geometry_encoding, has_coordinates, is_whole, mark_whole, read_features, write_features
+from wayloom.plans.splitter import run_report
+from wayloom.sources import catalog, manifests
+from wayloom.sources.feature_io import geometry_encoding, has_coordinates, read_features, write_features
 
 ROAD = [(-122.18, 47.61), (-122.179, 47.6105), (-122.178, 47.61), (-122.177, 47.6102)]
 
@@ -289,8 +291,12 @@ def test_staged_split_equals_one_plan_and_reuses_stages(town, split_town, spark,
     rows = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
     expected = rows(split_town)
     assert rows(result) == expected
-    marks = [p.name for p in tmp_path.iterdir() if p.name.endswith(".whole")]
-    assert sorted(marks) == sorted(f"out_{s.value}.whole" for s in Stage if s != Stage.read_input)
+    assert {s for s in Stage if s != Stage.read_input and io.manifest(spark, s)} == set(seen)
+    report = {(r.stage, r.report, r.key): r.value for r in run_report(spark, io).collect()}
+    assert {s: report[s.value, "rows", ""] for s in seen} == seen
+    assert report["3_raw_split", "outcomes", ""] == 6 and report["3_raw_split", "splits", "4"] == 1
+    assert (report["final", "types", "segment"], report["final", "types", "connector"]) == (6, 7)
+    assert sum(n for (s, r, k), n in report.items() if r == "metrics" and k.startswith("length ")) == 6
     again = []
     assert rows(split_network(spark, io, wkt, on_stage=lambda s, n: again.append(s))) == expected
     assert again == [Stage.final_output]
@@ -307,15 +313,81 @@ def test_staged_split_equals_one_plan_and_reuses_stages(town, split_town, spark,
     assert other == list(seen)
 
 
-def test_half_written_stages_are_made_again(spark, tmp_path):
+def test_incomplete_versions_are_not_whole(spark, tmp_path):
     path = f"{tmp_path}/stage"
-    spark.range(100).repartition(4).write.parquet(path)
-    assert not is_whole(spark, path)
-    mark_whole(spark, path, "a")
-    assert is_whole(spark, path, "a") and not is_whole(spark, path, "b")
-    for part in sorted(p for p in (tmp_path / "stage").iterdir() if p.name.startswith("part"))[1:]:
-        part.unlink()
-    assert not is_whole(spark, path, "a")
+    store = lambda n, settings: manifests.add_version(
+        spark, path, lambda folder: spark.range(n).repartition(4).write.parquet(folder), settings
+    )
+    assert manifests.current(spark, path) is None and not manifests.is_whole(spark, None)
+    first = store(100, "a")
+    assert first.rows == 100 and first.files == 4
+    assert manifests.is_whole(spark, first, "a") and not manifests.is_whole(spark, first, "b")
+
+    def dies(folder):
+        spark.range(7).write.parquet(folder)
+        raise OSError("lost")
+
+    with pytest.raises(OSError, match="lost"):
+        manifests.add_version(spark, path, dies)
+    assert manifests.current(spark, path) == first
+    second, third = store(10, "b"), store(20, "c")
+    assert manifests.current(spark, path) == third
+    # The version before is kept for its readers, older ones are not.
+    assert spark.read.parquet(second.location).count() == 10
+    assert not (tmp_path / "stage" / "_versions" / first.version).exists()
+    parts = sorted((tmp_path / "stage" / "_versions" / third.version).glob("part*"))
+    parts[0].unlink()
+    assert not manifests.is_whole(spark, third, "c")
+    (tmp_path / "stage" / "_manifests" / "9999999999-x.json").write_text('{"rows": ')
+    assert manifests.current(spark, path) == third
+
+
+def test_changed_input_gets_fresh_pieces_and_readers_keep_theirs(town, spark, tmp_path):
+    write_features(town.filter("id <> 'next'"), f"{tmp_path}/in/a")
+    write_features(town.filter("id = 'next'"), f"{tmp_path}/in/b")
+    io = FeatureIO(f"{tmp_path}/in/*", f"{tmp_path}/out")
+    ids = lambda df: {r.id for r in df.filter("type = 'segment'").select("id").distinct().collect()}
+    held, cut_lines = split_network(spark, io), io.read(spark, Stage.raw_split)
+    # One file of the input changes: its rows are seen, under the same path.
+    write_features(town.filter("id = 'next'").withColumn("id", F.lit("later")), f"{tmp_path}/in/b")
+    made = []
+    after = split_network(spark, io, on_stage=lambda s, n: made.append(s))
+    assert made == [Stage.joined, Stage.raw_split, Stage.segment_splits_exploded, Stage.final_output]
+    assert "later" in ids(after) and "next" not in ids(after)
+    # Read only now, after all stages were made again.
+    assert held.count() == 13 and cut_lines.count() == 3
+    assert "next" in ids(held) and "later" not in ids(held)
+
+
+def test_input_that_changes_meanwhile_is_refused(town, spark, tmp_path, monkeypatch):
+    write_features(town, f"{tmp_path}/in")
+    io = FeatureIO(f"{tmp_path}/in", f"{tmp_path}/out")
+    states = iter(["first", "second"])
+    monkeypatch.setattr(io, "input_state", lambda spark: next(states))
+    with pytest.raises(RuntimeError, match="changed while"):
+        split_network(spark, io)
+    assert io.manifest(spark, Stage.joined) is None
+
+
+def test_reports_start_no_jobs_of_their_own(split_town, spark, tmp_path):
+    """What a run reports is seen while its stages are written: as many jobs with reports as without."""
+
+    def jobs(name, look):
+        io = FeatureIO("in", f"{tmp_path}/{name}")
+        spark.sparkContext.setJobGroup(name, name)
+        df, report = look(split_town)
+        io.write(df, Stage.final_output, observed=report)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)), io.manifest(spark, Stage.final_output)
+
+    def rows_only(df):
+        seen = Observation("rows")
+        return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: dict(seen.get)
+
+    plain, bare = jobs("plain", rows_only)
+    full, told = jobs("full", lambda df: reports.observed(df, "final"))
+    assert full == plain and bare.rows == told.rows == 13
+    assert told.report["types"] == {"segment": 6, "connector": 7} and bare.report == {"rows": 13}
 
 
 def test_names_of_own_columns_are_refused(town, spark, tmp_path):

@@ -37,6 +37,9 @@ FEW_POINTS = "fewer than two split points"
 NO_POSITION = "connector list or position is missing"
 MALFORMED_RANGE = "linear reference is not a pair"
 CLOSED_PIECE = "piece starts and ends in the same point"
+FAILURES = (
+    NOT_A_LINE, ZERO_LENGTH, NOT_ON_LINE, NO_CONNECTOR, FEW_POINTS, NO_POSITION, MALFORMED_RANGE, CLOSED_PIECE,
+)
 
 SPLIT_COLUMNS = [
     "is_success",

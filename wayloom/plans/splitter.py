@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayloom.functions.schema_walk import choose_columns, columns_holding
-from wayloom.operators.cutting import added_connectors, explode_pieces, split_segments
+from wayloom.operators.cutting import FAILURES, added_connectors, explode_pieces, split_segments
 from wayloom.operators.filters import spatial_filter
 from wayloom.operators.network import connectors, join_connectors
 from wayloom.operators.references import (
@@ -22,7 +22,7 @@ from wayloom.operators.references import (
     mark_referring,
     resolve_references,
 )
-from wayloom.operators.reports import counted
+from wayloom.operators.reports import observed, run_rows
 from wayloom.plans.config import DEFAULT_CONFIG, SplitConfig
 from wayloom.sources.feature_io import FeatureIO, Stage, geometry_encoding, read_parquet, spread_scan, with_wkb, write_parquet
 
@@ -94,14 +94,21 @@ def split_network(
 
     Each stage is read back from storage, so nothing is computed twice and a lost executor
     costs at most the tasks of one stage. Geometry is decoded once, where lines are cut. A stage is
-    only reused if it is whole and came from the same input, polygon and settings. ``on_stage``
-    hears how many rows each stage wrote.
+    only reused if its files are all there and it came from the same input files, polygon and settings.
+    If the input's files change while they are read, no stage made from them becomes current and
+    RuntimeError is raised. ``on_stage`` hears how many rows each stage wrote; :func:`run_report` tells
+    the rest of what was seen.
     """
     own = sorted(OWN_COLUMNS & set(io.read_stored(spark, Stage.read_input).columns))
     if own:
         raise ValueError(f"the input has columns that the split makes itself: {', '.join(own)}")
     chosen_settings = {k: v for k, v in vars(config).items() if k != "reuse_existing_intermediate_outputs"}
-    settings = json.dumps([io.input_path, filter_wkt, chosen_settings], sort_keys=True)
+    state = io.input_state(spark)
+    settings = json.dumps([io.input_path, state, filter_wkt, chosen_settings], sort_keys=True)
+
+    def unchanged() -> None:
+        if io.input_state(spark) != state:
+            raise RuntimeError(f"files of {io.input_path} changed while they were read")
 
     def stage(
         name: Stage, make: Callable[[], DataFrame], partition_by: tuple[str, ...] = (), heavy: bool = False
@@ -113,20 +120,22 @@ def split_network(
         return io.read_stored(spark, name)
 
     def store(name: Stage, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
-        if not on_stage:
-            io.write(df, name, partition_by, settings)
-        elif io.custom_write_hook:
+        if io.custom_write_hook:
             # A hook may write later, or not at once.
             io.write(df, name, partition_by, settings)
-            on_stage(name, io.read_stored(spark, name).count())
-        else:
-            df, seen = counted(df, name.value)
-            io.write(df, name, partition_by, settings)
-            on_stage(name, seen.get["rows"])
+            if on_stage:
+                on_stage(name, io.read_stored(spark, name).count())
+            return
+        df, report = observed(df, name.value, FAILURES)
+        io.write(df, name, partition_by, settings, report, unchanged if name in from_input else None)
+        if on_stage:
+            on_stage(name, report()["rows"])
 
     def source() -> DataFrame:
         return io.read_stored(spark, Stage.read_input)
 
+    # Stages that read the input itself; later ones come from these.
+    from_input = {Stage.spatial_filter} if filter_wkt is not None else {Stage.joined, Stage.final_output}
     features = source() if filter_wkt is None else stage(
         Stage.spatial_filter, lambda: spatial_filter(source(), filter_wkt)
     )
@@ -141,3 +150,15 @@ def split_network(
     )
     store(Stage.final_output, assemble(features, pieces, split))
     return io.read(spark, Stage.final_output)
+
+
+def run_report(spark: SparkSession, io: FeatureIO) -> DataFrame:
+    """What the last run saw while it wrote its stages, as rows of stage, report, key and value.
+
+    ``rows`` of each stage; ``lengths`` before and after, ``outcomes`` and ``splits`` for each segment;
+    ``types`` and ``metrics`` of the result. Comes from the manifests; stages that hooks store have none.
+    """
+    found = {s.value: m.report for s in Stage if s != Stage.read_input and (m := io.manifest(spark, s))}
+    cut_lines = io.read_stored(spark, Stage.raw_split) if Stage.raw_split.value in found else None
+    rows = run_rows(found, cut_lines)
+    return spark.createDataFrame(rows, "stage string, report string, key string, value bigint")

@@ -8,12 +8,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from enum import Enum
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wayloom.sources import manifests
 from wayloom.sources.wkb import decode_wkb, encode_wkb
 
 GEOMETRY = "geometry"
@@ -70,64 +72,65 @@ class FeatureIO:
     def _hook_path(self, stage: Stage) -> str:
         return self.input_path if stage == Stage.read_input else self.output_path_prefix
 
+    def location(self, spark: SparkSession, stage: Stage) -> str:
+        """Where the stage's rows lie now: the input itself, or a stage's current version."""
+        path = self.default_path_for_step(stage)
+        return path if stage == Stage.read_input else manifests.location(spark, path)
+
     def read(self, spark: SparkSession, stage: Stage) -> DataFrame:
         df = self.read_stored(spark, stage)
         return df if stage == Stage.raw_split else with_coordinates(df)
 
     def read_stored(self, spark: SparkSession, stage: Stage) -> DataFrame:
-        """As :meth:`read`, with geometry left in the form it is stored in."""
+        """As :meth:`read`, with geometry left in the form it is stored in.
+
+        A stage is read from the version that is current now, whatever is written later.
+        """
         if self.custom_read_hook:
             df = self.custom_read_hook(spark, stage, self._hook_path(stage))
         else:
             # Files of the input may differ in their columns; a stage's own files don't.
             merge = stage == Stage.read_input
-            df = read_parquet(spark, self.default_path_for_step(stage), merge)
+            df = read_parquet(spark, self.location(spark, stage), merge)
         return df if stage == Stage.raw_split else with_valid_geometry(df)
 
+    def input_state(self, spark: SparkSession) -> str:
+        """What the input's files are at this moment; empty if a hook reads it."""
+        return "" if self.custom_read_hook else manifests.input_digest(spark, self.input_path)
+
     def check_exists(self, spark: SparkSession, stage: Stage, settings: str = "") -> bool:
         """Whether the stage is whole and was made with the same settings; a hook decides by itself."""
         if self.custom_exists_hook:
             return self.custom_exists_hook(spark, stage, self.output_path_prefix)
-        return is_whole(spark, self.default_path_for_step(stage), settings)
+        found = manifests.current(spark, self.default_path_for_step(stage))
+        return manifests.is_whole(spark, found, settings)
+
+    def manifest(self, spark: SparkSession, stage: Stage) -> manifests.Manifest | None:
+        """What is known of the stage's current version; nothing if hooks store it."""
+        return None if self.custom_write_hook else manifests.current(spark, self.default_path_for_step(stage))
 
-    def write(self, df: DataFrame, stage: Stage, partition_by: tuple[str, ...] = (), settings: str = "") -> None:
+    def write(
+        self,
+        df: DataFrame,
+        stage: Stage,
+        partition_by: tuple[str, ...] = (),
+        settings: str = "",
+        observed: Callable[[], dict[str, Any]] | None = None,
+        check: Callable[[], None] | None = None,
+    ) -> None:
+        """Store a stage as a new version; ``observed`` tells afterwards what was seen of its rows."""
         if self.custom_write_hook:
             self.custom_write_hook(df, stage, self.output_path_prefix)
             return
-        path = self.default_path_for_step(stage)
-        unmark(df.sparkSession, path)
-        if stage == Stage.raw_split:
-            write_parquet(df, path, partition_by)
-        else:
-            write_features(df, path, partition_by)
-        mark_whole(df.sparkSession, path, settings)
-
-
-# A stage's mark lies beside it: its settings and how many rows it has. It is taken away before the
-# stage is written and set after the last file, so a stage that died on the way, or lost files
-# since, is made again.
 
+        def fill(folder: str) -> dict[str, Any] | None:
+            if stage == Stage.raw_split:
+                write_parquet(df, folder, partition_by)
+            else:
+                write_features(df, folder, partition_by)
+            return observed() if observed else None
 
-def _mark(spark: SparkSession, path: str, lines: list[str]) -> None:
-    marks = spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1)
-    marks.write.mode("overwrite").text(f"{path}.whole")
-
-
-def unmark(spark: SparkSession, path: str) -> None:
-    _mark(spark, path, [])
-
-
-def mark_whole(spark: SparkSession, path: str, settings: str = "") -> None:
-    rows = spark.read.parquet(path).count()
-    _mark(spark, path, [f"{rows} {settings}"])
-
-
-def is_whole(spark: SparkSession, path: str, settings: str = "") -> bool:
-    try:
-        marks = [r["value"] for r in spark.read.text(f"{path}.whole").take(2)]
-        return len(marks) == 1 and marks[0] == f"{spark.read.parquet(path).count()} {settings}"
-    except AnalysisException:
-        return False
+        manifests.add_version(df.sparkSession, self.default_path_for_step(stage), fill, settings, check=check)
 
 
 def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:

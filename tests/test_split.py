@@ -372,10 +372,12 @@ def test_input_that_changes_meanwhile_is_refused(town, spark, tmp_path, monkeypa
 def test_reports_start_no_jobs_of_their_own(split_town, spark, tmp_path):
     """What a run reports is seen while its stages are written: as many jobs with reports as without."""
 
+    split_town.write.parquet(f"{tmp_path}/stored")
+
     def jobs(name, look):
         io = FeatureIO("in", f"{tmp_path}/{name}")
+        df, report = look(spark.read.parquet(f"{tmp_path}/stored"))
         spark.sparkContext.setJobGroup(name, name)
-        df, report = look(split_town)
         io.write(df, Stage.final_output, observed=report)
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)), io.manifest(spark, Stage.final_output)

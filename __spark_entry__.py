@@ -665,6 +665,19 @@ def _(spark, sf_dir):
     return references.referenced_pieces(table, references.reference_items(table, destinations=False)).select("id", whole("piece_no"))
 
 
+@query(
+    "j4_referenced_ends",
+    """SELECT DISTINCT p.seg::VARCHAR AS segment_id, c.cid AS connector_id, round(s_lr, 6) AS start_lr, round(e_lr, 6) AS end_lr
+    FROM piece p JOIN pcon c ON c.seg = p.seg AND c.piece_no = p.piece_no JOIN titem t ON t.ref = p.seg AND t.cid = c.cid""",
+)
+def _(spark, sf_dir):
+    table = pieces(spark, sf_dir)
+    items = references.reference_items(table, destinations=False)
+    key = ["segment_id", "connector_id"]
+    met = references.referenced_ends(table, items).join(items.select(*key).distinct(), key)
+    return met.select("segment_id", "connector_id", rounded("start_lr", 6), rounded("end_lr", 6)).distinct()
+
+
 @query(
     "t4_matched_turn_items",
     """SELECT seg::VARCHAR AS id, piece_no, step, round(s_lr, 6) AS ref_start_lr, round(e_lr, 6) AS ref_end_lr FROM tmatch""",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayloom.functions.binding import none_if_empty, pick
+from wayloom.operators.bloom import DEFAULT_BITS, bloom_filter, may_be_in
 from wayloom.operators.skew import salted_join
 
 TURNS = "prohibited_transitions"
@@ -137,21 +138,31 @@ def referenced_pieces(pieces: DataFrame, items: DataFrame) -> DataFrame:
     return pieces.join(referenced, "id", "left_semi")
 
 
-def match_items(items: DataFrame, pieces: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+def referenced_ends(pieces: DataFrame, items: DataFrame, bits: int = DEFAULT_BITS) -> DataFrame:
+    """Piece ends that some item may refer to: nearly all others are dropped where they are read."""
+    key = ["segment_id", "connector_id"]
+    found = bloom_filter(items, key, bits)
+    return piece_ends(pieces).filter(may_be_in(found, [F.col(c) for c in key], bits))
+
+
+def match_items(
+    items: DataFrame, pieces: DataFrame, rows_per_task: int | None = None, bits: int = DEFAULT_BITS
+) -> DataFrame:
     """Items with ``ref_start_lr, ref_end_lr`` of the piece they mean; unmatched ones drop out.
 
     A last item (or destination) heading forward enters a piece at its first connector,
     otherwise at its second. An item in the middle means the piece holding both its
     connector and the next one. Segment and connector together form the join key, so an
     item meets only the few pieces around its connector, never all of the segment; items
-    are salted because many may share one target.
+    are salted because many may share one target. A Bloom filter of the keys keeps pieces that
+    nothing refers to from being shuffled.
     """
     last = F.col("next_connector_id").isNull()
     entry = F.when(F.coalesce(F.col("final_heading") == "forward", F.lit(False)), 0).otherwise(1)
     through = F.exists("piece_connectors", lambda c: c == F.col("next_connector_id"))
     return salted_join(
         items,
-        piece_ends(pieces),
+        referenced_ends(pieces, items, bits),
         ["segment_id", "connector_id"],
         "inner",
         spread_by=[F.col(c) for c in ("id", "piece_no", "kind", "item", "step")],
@@ -206,11 +217,16 @@ def write_destinations(destinations: Column, destinations_type: T.ArrayType, mat
 
 
 def resolve_references(
-    pieces: DataFrame, turns: bool = True, destinations: bool = True, rows_per_task: int | None = None
+    pieces: DataFrame,
+    turns: bool = True,
+    destinations: bool = True,
+    rows_per_task: int | None = None,
+    bits: int = DEFAULT_BITS,
 ) -> DataFrame:
     """Write the pieces that turns and destinations refer to into both columns.
 
-    Only narrow items travel to find their pieces. Where stored pieces are laid out by whether
+    Only narrow items travel to find their pieces, and of pieces only the ends that may be meant;
+    ``bits`` is the size of the filter that tells, ten for each item or more. Where stored pieces are laid out by whether
     they refer to others, only those that do are shuffled to get the answers back; all others
     pass straight through.
     """
@@ -221,7 +237,7 @@ def resolve_references(
     laid_out = REFERS in pieces.columns
     referring = pieces.filter(F.col(REFERS) == 1) if laid_out else pieces
     items = reference_items(referring, turns, destinations)
-    matches = gather_matches(match_items(items, pieces, rows_per_task))
+    matches = gather_matches(match_items(items, pieces, rows_per_task, bits))
     both = referring.join(matches, ["id", "piece_no"], "left")
     if laid_out:
         nothing = F.lit(None).cast(both.schema["_matches"].dataType)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayloom.functions.schema_walk import choose_columns, columns_holding
+from wayloom.operators.bloom import DEFAULT_BITS, bits_for
 from wayloom.operators.cutting import FAILURES, added_connectors, explode_pieces, split_segments
 from wayloom.operators.filters import spatial_filter
 from wayloom.operators.network import connectors, join_connectors
@@ -49,8 +50,12 @@ def all_connectors(features: DataFrame, split: DataFrame) -> DataFrame:
     return connectors(features).unionByName(added, allowMissingColumns=True).select(*features.columns)
 
 
-def assemble(features: DataFrame, pieces: DataFrame, split: DataFrame) -> DataFrame:
-    """Resolved pieces and all connectors in one table: the input's columns and three more."""
+def assemble(features: DataFrame, pieces: DataFrame, split: DataFrame, references_seen: int | None = None) -> DataFrame:
+    """Resolved pieces and all connectors in one table: the input's columns and three more.
+
+    How many references the pieces hold, if that is known, sets the size of the filter for their targets.
+    """
+    bits = DEFAULT_BITS if references_seen is None else bits_for(references_seen)
     points = all_connectors(features, split)
     for column, resolved in ((TURNS, RESOLVED_TURNS), (DESTINATIONS, RESOLVED_DESTINATIONS)):
         if column in points.columns:
@@ -60,7 +65,7 @@ def assemble(features: DataFrame, pieces: DataFrame, split: DataFrame) -> DataFr
     columns = [*features.columns, *SPLIT_FIELDS]
     if geometry_encoding(features) == "wkb":
         pieces = with_wkb(pieces)
-    return resolve_references(pieces).select(*columns).unionByName(points.select(*columns))
+    return resolve_references(pieces, bits=bits).select(*columns).unionByName(points.select(*columns))
 
 
 def split_features(
@@ -148,7 +153,8 @@ def split_network(
         lambda: mark_referring(explode_pieces(split, chosen, config)),
         partition_by=(REFERS,),
     )
-    store(Stage.final_output, assemble(features, pieces, split))
+    known = io.manifest(spark, Stage.segment_splits_exploded)
+    store(Stage.final_output, assemble(features, pieces, split, known.report.get("references") if known else None))
     return io.read(spark, Stage.final_output)
 
 

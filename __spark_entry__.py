@@ -14,7 +14,7 @@ from oracles import OUTERMOST, assemble, metres
 from wayloom.functions import lineref, lines
 from wayloom.functions.binding import bind, pick
 from wayloom.functions.polygon import polygon_rings
-from wayloom.operators import cutting, filters, network, placement, references, reports
+from wayloom.operators import cutting, filters, layout, network, placement, references, reports
 from wayloom.plans import derived, splitter
 from wayloom.plans.config import SplitConfig
 from wayloom.sources import catalog, manifests
@@ -175,8 +175,8 @@ POLYGON = (
 )
 
 
-def _polygon_edges() -> str:
-    ring = polygon_rings(POLYGON)[0]
+def _polygon_edges(wkt: str = POLYGON) -> str:
+    ring = polygon_rings(wkt)[0]
     rows = ", ".join(f"({a[0]!r}e0, {a[1]!r}e0, {b[0]!r}e0, {b[1]!r}e0)" for a, b in zip(ring, ring[1:]))
     return f"SELECT * FROM (VALUES {rows}) AS p(cx, cy, dx, dy)"
 
@@ -811,6 +811,30 @@ def _(spark, sf_dir):
     return _final_rows(final(spark, sf_dir))
 
 
+#: A corner of the network.
+SMALL_POLYGON = "POLYGON ((-122.0005 46.9995, -121.9992 46.9995, -121.9995 47.00035, -122.0005 47.0002, -122.0005 46.9995))"
+
+
+@query(
+    "io4_by_place",
+    f"SELECT id.kind AS type, id.name AS id, id.s AS start_lr FROM ({MEETS_POLYGON})",
+    poly=_polygon_edges(SMALL_POLYGON),
+    allv="""SELECT {'kind': 'segment', 'name': p.seg::VARCHAR, 's': round(s_lr, 6)} AS id, n AS idx, x, y
+      FROM piece_v v JOIN piece p ON p.seg = v.seg AND p.piece_no = v.piece_no UNION ALL
+      SELECT {'kind': 'connector', 'name': cid, 's': NULL}, 0, x, y FROM con UNION ALL
+      SELECT {'kind': 'connector', 'name': cid, 's': NULL}, 0, x, y FROM added WHERE seg NOT IN (SELECT seg FROM fail)""",
+    alle="""SELECT * FROM (SELECT id, idx, x, y, coalesce(lead(x) OVER w, CASE WHEN idx = 0 THEN x END) AS x2,
+      coalesce(lead(y) OVER w, CASE WHEN idx = 0 THEN y END) AS y2 FROM allv WINDOW w AS (PARTITION BY id ORDER BY idx))
+      WHERE x2 IS NOT NULL""",
+)
+def _(spark, sf_dir):
+    path = f"{scratch(spark, sf_dir)}/final_by_place"
+    if not manifests.is_whole(spark, manifests.current(spark, path)):
+        manifests.add_version(spark, path, lambda folder: layout.write_by_place(final(spark, sf_dir), folder))
+    stored = read_parquet(spark, manifests.location(spark, path))
+    return filters.spatial_filter(stored, SMALL_POLYGON).select("type", "id", rounded("start_lr", 6))
+
+
 @query("p3_staged_split", FINAL_ROWS)
 def _(spark, sf_dir):
     io = FeatureIO(stored_features(spark, sf_dir), f"{scratch(spark, sf_dir)}/staged")

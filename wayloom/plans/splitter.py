@@ -13,6 +13,7 @@ from wayloom.functions.schema_walk import choose_columns, columns_holding
 from wayloom.operators.bloom import DEFAULT_BITS, bits_for
 from wayloom.operators.cutting import FAILURES, added_connectors, explode_pieces, split_segments
 from wayloom.operators.filters import spatial_filter
+from wayloom.operators.layout import by_place
 from wayloom.operators.network import connectors, join_connectors
 from wayloom.operators.references import (
     DESTINATIONS,
@@ -131,6 +132,8 @@ def split_network(
             if on_stage:
                 on_stage(name, io.read_stored(spark, name).count())
             return
+        if io.by_place and name == Stage.final_output:
+            df = by_place(df)
         df, report = observed(df, name.value, FAILURES)
         io.write(df, name, partition_by, settings, report, unchanged if name in from_input else None)
         if on_stage:

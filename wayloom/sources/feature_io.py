@@ -24,6 +24,8 @@ GEOMETRY = "geometry"
 COMPRESSION = "zstd"
 ROW_GROUP_BYTES = 16 * 1024 * 1024
 TASKS_PER_CORE = 4
+#: Rows of a page of a column where rows lie by place: the least that a reader can skip.
+PAGE_ROWS = 500
 
 
 class Stage(Enum):
@@ -46,7 +48,8 @@ class FeatureIO:
     """Where a split reads its features from and keeps its stages.
 
     Own hooks may replace all access; they come all three or not at all. A hook gets the
-    input path for the input and the output prefix for every other stage.
+    input path for the input and the output prefix for every other stage. With ``by_place`` the result
+    is stored in order of place, with a box for each row (``bbox``), for readers of small areas.
     """
 
     def __init__(
@@ -56,10 +59,12 @@ class FeatureIO:
         custom_read_hook: ReadHook | None = None,
         custom_exists_hook: ExistsHook | None = None,
         custom_write_hook: WriteHook | None = None,
+        by_place: bool = False,
     ):
         hooks = (custom_read_hook, custom_exists_hook, custom_write_hook)
         if any(hooks) and not all(hooks):
             raise AssertionError("hooks for reading, existence and writing must be given together")
+        self.by_place = by_place
         self.input_path = input_path.rstrip("/")
         self.output_path_prefix = output_path_prefix.rstrip("/")
         self.custom_read_hook, self.custom_exists_hook, self.custom_write_hook = hooks
@@ -127,7 +132,8 @@ class FeatureIO:
             if stage == Stage.raw_split:
                 write_parquet(df, folder, partition_by)
             else:
-                write_features(df, folder, partition_by)
+                small_pages = {"parquet.page.row.count.limit": PAGE_ROWS} if self.by_place and stage == Stage.final_output else {}
+                write_features(df, folder, partition_by, **small_pages)
             return observed() if observed else None
 
         manifests.add_version(df.sparkSession, self.default_path_for_step(stage), fill, settings, check=check)
@@ -189,13 +195,14 @@ def with_wkb(df: DataFrame, geometry_column: str = GEOMETRY) -> DataFrame:
     return df
 
 
-def write_features(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    write_parquet(with_wkb(df), path, partition_by)
+def write_features(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), **options: Any) -> None:
+    write_parquet(with_wkb(df), path, partition_by, **options)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), **options: Any) -> None:
     writer = (
         df.write.mode("overwrite")
+        .options(**options)
         .option("compression", COMPRESSION)
         .option("parquet.block.size", ROW_GROUP_BYTES)
     )

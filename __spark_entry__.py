@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import importlib.util
+import math
 import tempfile
 from collections.abc import Callable
 
@@ -200,6 +201,20 @@ def _(spark, sf_dir):
     return filters.spatial_filter(features(spark, sf_dir), POLYGON).select("id")
 
 
+def _star(spikes: int) -> str:
+    """A ring that goes in and out around the network's middle."""
+    points = []
+    for i in range(2 * spikes):
+        turn, reach = math.pi * i / spikes, 1.0 if i % 2 else 0.55
+        points.append(f"{-121.9957 + 0.0035 * reach * math.cos(turn):.9f} {47.00151 + 0.0013 * reach * math.sin(turn):.9f}")
+    return f"POLYGON (({', '.join([*points, points[0]])}))"
+
+
+@query("f1_indexed_polygon", MEETS_POLYGON, **MEETS_PARTS | {"poly": _polygon_edges(_star(250))})
+def _(spark, sf_dir):
+    return filters.spatial_filter(features(spark, sf_dir), _star(250)).select("id")
+
+
 @query("f1_boxed_filter", MEETS_POLYGON, **MEETS_PARTS)
 def _(spark, sf_dir):
     def bound(pick_one, axis):

@@ -57,3 +57,19 @@ def number_text(value: Column) -> Column:
         .when(exponent == 4, F.concat(F.lit("0.000"), digits))
         .otherwise(F.concat(mantissa, F.lit("e-"), F.lpad(exponent.cast("string"), 2, "0")))
     )
+
+
+def halvings(count: Column) -> Column:
+    """Powers of two from the largest within ``count`` down to 1: the steps of a search among so many."""
+    powers = F.array(*(F.lit(1 << k) for k in range(30, -1, -1)))
+    digits = F.length(F.bin(F.greatest(count, F.lit(1)).cast("long")))
+    return F.slice(powers, 32 - digits, digits)
+
+
+def leading(steps: Column, holds: Callable[[Column], Column]) -> Column:
+    """How many places from the first on fulfil a condition that no place fulfils after one that doesn't.
+
+    ``steps`` are the halvings of the number of places; ``holds`` gets a place's number, from 0, and must be
+    false or null beyond the last.
+    """
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(holds(n + step - 1), n + step).otherwise(n))

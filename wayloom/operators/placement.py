@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayloom.functions.binding import bind, indices, let, number_text, pick, stretch
+from wayloom.functions.binding import bind, halvings, indices, leading, let, number_text, pick, stretch
 from wayloom.functions.geodesy import distance, point_on_edge
 from wayloom.functions.lines import differs, is_line, running_metres
 
@@ -125,14 +125,18 @@ def _walk_edges(left_over: Column, coords: Column, at: Column, total: Column) ->
         point = _point(c.connector_id, c.connector_geometry, F.try_divide(h.metres, total), h.metres, h.vertex, False)
         return _progress(h.edge, acc.lost, F.array_append(acc.points, point))
 
+    def near(c: Column, j: Column) -> Column:
+        return let(
+            F.struct(pick(coords, j).alias("a"), pick(coords, j + 1).alias("b"), (pick(at, j + 1) - pick(at, j)).alias("m")),
+            lambda e: _may_lie_on(c.connector_geometry, e.a, e.b, e.m),
+        )
+
     def seek(acc: Column, c: Column) -> Column:
-        # Once one is lost, the ones behind it are lost as well.
+        # Once one is lost, the ones behind it are lost as well. Distances are for edges near the connector only.
+        edges = F.transform(indices(F.size(coords) - 1 - acc.edge), lambda k: acc.edge + k)
         ahead = F.when(
             acc.lost == 0,
-            F.filter(
-                F.transform(indices(F.size(coords) - 1 - acc.edge), lambda k: hit(c, acc.edge + k)),
-                lambda h: h.isNotNull(),
-            ),
+            F.filter(F.transform(F.filter(edges, lambda j: near(c, j)), lambda j: hit(c, j)), lambda h: h.isNotNull()),
         )
         return let(
             pick(ahead, 0),
@@ -142,6 +146,26 @@ def _walk_edges(left_over: Column, coords: Column, at: Column, total: Column) ->
     return F.aggregate(left_over, _progress(F.lit(0), F.lit(0), _no_points()), seek)
 
 
+def _may_lie_on(p: Column, a: Column, b: Column, metres: Column) -> Column:
+    """False only for points that are surely not on an edge, by its box and the room around it.
+
+    The legs from both ends to a point on the edge exceed it by less than ON_EDGE_M, so the point is within
+    sqrt(ON_EDGE_M * metres / 2) of the straight edge, and that leaves its box by less than metres^2 * tan(lat)
+    / 5e7. Edges above 1 km, near a pole or across the date line always may.
+    """
+    lat = F.greatest(F.abs(a.y), F.abs(b.y))
+    room = F.sqrt(ON_EDGE_M * metres) + 2 * ON_EDGE_M + metres * metres * F.tan(F.radians(lat)) / 5e7
+    up = room / 110_000.0
+    aside = up / F.cos(F.radians(lat))
+    within = (
+        (p.x >= F.least(a.x, b.x) - aside)
+        & (p.x <= F.greatest(a.x, b.x) + aside)
+        & (p.y >= F.least(a.y, b.y) - up)
+        & (p.y <= F.greatest(a.y, b.y) + up)
+    )
+    return (metres > 1_000.0) | (lat > 85.0) | (F.abs(a.x - b.x) > 180.0) | within
+
+
 def _leg(a: Column, b: Column) -> Column:
     return F.struct(a.x.alias("x1"), a.y.alias("y1"), b.x.alias("x2"), b.y.alias("y2"))
 
@@ -166,10 +190,14 @@ def in_line_order(points: Column) -> Column:
     return F.transform(F.sort_array(numbered), lambda n: n.p)
 
 
-def locate(lr: Column, coords: Column, at: Column, total: Column, precision: int) -> Column:
-    """``struct(vertex, x, y)``: rounded point at a fraction of the line, and the vertex before it."""
+def locate(lr: Column, coords: Column, at: Column, total: Column, precision: int, steps: Column | None = None) -> Column:
+    """``struct(vertex, x, y)``: rounded point at a fraction of the line, and the vertex before it.
+
+    The edge is found by halving; ``steps`` are the halvings of the number of edges, if they are at hand.
+    """
     target = lr * total
-    passed = F.size(F.filter(stretch(at, F.lit(1), F.size(at) - 1), lambda m: target - m > EDGE_END_M))
+    steps = halvings(F.size(at) - 1) if steps is None else steps
+    passed = leading(steps, lambda i: target - pick(at, i + 1) > EDGE_END_M)
     edge = F.least(passed, F.size(coords) - 2)
 
     def on_edge(j: Column) -> Column:
@@ -201,12 +229,17 @@ def place_lr_values(placed: DataFrame, values: Column, precision: int, min_dist_
     existing = F.col("_placed")
 
     def add(acc: Column, lr: Column) -> Column:
-        nearest = F.least(
-            F.array_min(F.transform(existing, lambda p: F.abs(p.lr - lr))), F.abs(lr - acc.lr)
+        # Of the connectors' positions only the ones on either side of the value can be the nearest.
+        below = leading(F.col("_near_steps"), lambda i: pick(F.col("_near"), i) < lr)
+        nearest = let(
+            below,
+            lambda k: F.least(
+                F.abs(pick(F.col("_near"), k) - lr), F.abs(pick(F.col("_near"), k - 1) - lr), F.abs(lr - acc.lr)
+            ),
         )
         too_close = F.coalesce(nearest * total <= min_dist_m, F.lit(False))
         return F.when(too_close, acc).otherwise(
-            let(locate(lr, coords, at, total, precision), lambda p: append(acc, lr, p))
+            let(locate(lr, coords, at, total, precision, F.col("_at_steps")), lambda p: append(acc, lr, p))
         )
 
     def append(acc: Column, lr: Column, p: Column) -> Column:
@@ -215,9 +248,12 @@ def place_lr_values(placed: DataFrame, values: Column, precision: int, min_dist_
 
     last = pick(existing, F.size(existing) - 1)
     start = _fold(F.lit(None).cast("double"), last.x, last.y, _no_points())
-    df = bind(placed, _lrs=F.when(at.isNotNull(), values))
+    near = F.array_sort(F.filter(F.transform(existing, lambda p: p.lr), lambda lr: lr.isNotNull()))
+    df = bind(placed, _lrs=F.when(at.isNotNull(), values), _near=near, _at_steps=halvings(F.size(at) - 1))
+    df = bind(df, _near_steps=halvings(F.size("_near")))
     added = F.aggregate("_lrs", start, add, lambda acc: acc.points)
-    return bind(df, _points=F.when(at.isNotNull(), F.concat(existing, added))).drop("_lrs")
+    points = F.when(at.isNotNull(), F.concat(existing, added))
+    return bind(df, _points=points).drop("_lrs", "_near", "_near_steps", "_at_steps")
 
 
 def _fold(lr: Column, x: Column, y: Column, points: Column) -> Column:

@@ -19,6 +19,8 @@ POINT = "struct<id:string,x:double,y:double,lr:double,metres:double,vertex:int,i
 # compared with the metres of a reference rounded to six digits.
 ON_EDGE_M = 0.001
 EDGE_END_M = 5e-7
+#: Lists up to this length are looked through, longer ones searched by halving: most lines are short.
+SHORT = 16
 
 
 def _point(id_: Column, at: Column, lr: Column, metres: Column, vertex: Column, added: bool) -> Column:
@@ -197,7 +199,9 @@ def locate(lr: Column, coords: Column, at: Column, total: Column, precision: int
     """
     target = lr * total
     steps = halvings(F.size(at) - 1) if steps is None else steps
-    passed = leading(steps, lambda i: target - pick(at, i + 1) > EDGE_END_M)
+    scanned = F.size(F.filter(at, lambda m, i: (i > 0) & (target - m > EDGE_END_M)))
+    searched = leading(steps, lambda i: target - pick(at, i + 1) > EDGE_END_M)
+    passed = F.when(F.size(at) <= SHORT, scanned).otherwise(searched)
     edge = F.least(passed, F.size(coords) - 2)
 
     def on_edge(j: Column) -> Column:
@@ -231,12 +235,9 @@ def place_lr_values(placed: DataFrame, values: Column, precision: int, min_dist_
     def add(acc: Column, lr: Column) -> Column:
         # Of the connectors' positions only the ones on either side of the value can be the nearest.
         below = leading(F.col("_near_steps"), lambda i: pick(F.col("_near"), i) < lr)
-        nearest = let(
-            below,
-            lambda k: F.least(
-                F.abs(pick(F.col("_near"), k) - lr), F.abs(pick(F.col("_near"), k - 1) - lr), F.abs(lr - acc.lr)
-            ),
-        )
+        searched = let(below, lambda k: F.least(F.abs(pick(F.col("_near"), k) - lr), F.abs(pick(F.col("_near"), k - 1) - lr)))
+        scanned = F.array_min(F.transform("_near", lambda at_lr: F.abs(at_lr - lr)))
+        nearest = F.least(F.when(F.size("_near") <= SHORT, scanned).otherwise(searched), F.abs(lr - acc.lr))
         too_close = F.coalesce(nearest * total <= min_dist_m, F.lit(False))
         return F.when(too_close, acc).otherwise(
             let(locate(lr, coords, at, total, precision, F.col("_at_steps")), lambda p: append(acc, lr, p))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -73,6 +75,14 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def give_back_memory() -> None:
+    """Return what a finished task has freed to the system: its Python worker lives on and serves other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def row_batches(batches: Iterable[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that none holds much more than `most_bytes`; one row may still be longer."""
     for batch in batches:

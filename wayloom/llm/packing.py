@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayloom.llm.common import row_batches, scratch, stored, text_of
+from wayloom.llm.common import give_back_memory, row_batches, scratch, stored, text_of
 from wayloom.llm.tokens import byte_bpe, default_paths
 
 WINDOW = 1024
@@ -109,7 +109,7 @@ PIECES = (
 def cut(docs: DataFrame, window: int, paths: tuple[str, str], with_ids: bool) -> DataFrame:
     """Pieces of all documents, with their rank among the task's pieces of that length."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = byte_bpe(*paths), TaskContext.get().partitionId()
         seen = np.zeros(window + 1, dtype=np.int64)
         end = np.array([END_ID], dtype="<u4").tobytes()
@@ -129,6 +129,14 @@ def cut(docs: DataFrame, window: int, paths: tuple[str, str], with_ids: bool) ->
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "_part", "_rank", "ids"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from pieces_of(batches)
+        finally:
+            # Encoder and chunks would stay in the worker through all later stages.
+            byte_bpe.cache_clear()
+            give_back_memory()
+
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(run, PIECES)
 
 

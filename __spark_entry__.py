@@ -7,6 +7,7 @@ import importlib.util
 import math
 import tempfile
 from collections.abc import Callable
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from oracles import OUTERMOST, assemble, metres
 from wayloom.functions import lineref, lines
 from wayloom.functions.binding import bind, pick
 from wayloom.functions.polygon import polygon_rings
-from wayloom.operators import cutting, filters, layout, network, placement, references, reports
+from wayloom.operators import areas, cutting, filters, layout, network, placement, references, reports
 from wayloom.plans import derived, splitter
 from wayloom.plans.config import SplitConfig
 from wayloom.sources import catalog, manifests
@@ -215,6 +216,35 @@ def _(spark, sf_dir):
     return filters.spatial_filter(features(spark, sf_dir), _star(250)).select("id")
 
 
+def _diamond(node: str, reach: str) -> list[tuple[str, str]]:
+    """Corners around a supplier's place, as pairs of x and y that Spark and SQL compute alike."""
+    x, y = f"(-122e0 + ({node} % 100) * 9e-5)", f"(47e0 + ({node} % 31) * 1e-4)"
+    corners = ((f"{x} - {reach}", f"{y} - 1.1e-5"), (f"{x} + 1.3e-5", f"{y} - {reach}"), (f"{x} + {reach}", f"{y} + 1.7e-5"))
+    corners += ((f"{x} - 1.9e-5", f"{y} + {reach}"),)
+    return [*corners, corners[0]]
+
+
+_REACH = "((1 + s_suppkey % 3) * 4.3e-5)"
+
+
+@query(
+    "f1_polygon_table",
+    "SELECT DISTINCT id, polygon_id FROM (" + MEETS_POLYGON.removeprefix("SELECT DISTINCT id FROM (")
+    .replace("SELECT id, idx FROM allv", "SELECT id, idx, polygon_id FROM allv")
+    .replace("GROUP BY id, idx", "GROUP BY id, idx, polygon_id")
+    .replace("SELECT id, idx FROM alle", "SELECT id, idx, polygon_id FROM alle"),
+    **MEETS_PARTS | {"poly": " UNION ALL ".join(
+        f"SELECT s_suppkey AS polygon_id, {a[0]} AS cx, {a[1]} AS cy, {b[0]} AS dx, {b[1]} AS dy FROM supplier"
+        for a, b in pairwise(_diamond("s_suppkey", _REACH))
+    )},
+)
+def _(spark, sf_dir):
+    corners = ", ".join(f"struct({x} AS x, {y} AS y)" for x, y in _diamond("s_suppkey", _REACH))
+    diamonds = read_parquet(spark, f"{sf_dir}/supplier.parquet").selectExpr("s_suppkey AS polygon_id", f"array(array({corners})) AS rings")
+    # Blocks of some ten metres: these polygons are small.
+    return areas.meeting_polygons(features(spark, sf_dir), diamonds, finest=13).select("id", whole("polygon_id"))
+
+
 @query("f1_boxed_filter", MEETS_POLYGON, **MEETS_PARTS)
 def _(spark, sf_dir):
     def bound(pick_one, axis):

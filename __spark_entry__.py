@@ -6,6 +6,7 @@ import hashlib
 import importlib.util
 import math
 import tempfile
+import uuid
 from collections.abc import Callable
 from itertools import pairwise
 
@@ -170,6 +171,18 @@ def _(spark, sf_dir):
     return reports.type_counts(spark.table("wayloom_split"))
 
 
+@query("io11_bucketed_join", "SELECT seg::VARCHAR AS id, count(*) AS pieces, max(n) AS vertices FROM piece JOIN net USING (seg) GROUP BY seg")
+def _(spark, sf_dir):
+    location = f"{scratch(spark, sf_dir)}/bucketed-{uuid.uuid4().hex}"
+    lines = segments(spark, sf_dir).select("id", F.size("geometry").alias("vertices"))
+    split_up = network.segments(final(spark, sf_dir)).select("id", "start_lr", "end_lr")
+    for name, table in (("wayloom_lines", lines), ("wayloom_pieces", split_up)):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        catalog.publish_bucketed(table, name, f"{location}/{name}", buckets=8)
+    met = spark.table("wayloom_pieces").join(spark.table("wayloom_lines").hint("merge"), "id")
+    return met.groupBy("id").agg(F.count("*").alias("pieces"), whole(F.max("vertices"), "vertices"))
+
+
 # ---------------------------------------------------------------- filters
 
 POLYGON = (

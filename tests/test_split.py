@@ -492,6 +492,24 @@ def test_published_table(split_town, spark, tmp_path):
     assert table.filter("element_at(metrics, 'length') is not null").count() == 6
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    for name, rows in (("one", 1_000), ("two", 3_000)):
+        table = spark.range(rows).select((F.col("id") % 500).cast("string").alias("id"), F.col("id").alias(name))
+        none = spark.createDataFrame([(None, 1)], f"id string, {name} long")
+        spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")
+        catalog.publish_bucketed(table.union(none), f"bucketed_{name}", f"{tmp_path}/{name}", buckets=4)
+    met = spark.table("bucketed_one").hint("merge").join(spark.table("bucketed_two"), "id")
+    grouped = met.groupBy("id").agg(F.count("*").alias("n"))
+    rows = grouped.collect()
+    assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+    assert len(rows) == 500 and {r.n for r in rows} == {12}
+    assert spark.table("bucketed_two").count() == 3_001
+    # Written again, the table holds the new rows alone.
+    catalog.publish_bucketed(table.limit(7), "bucketed_two", f"{tmp_path}/two")
+    assert spark.table("bucketed_two").count() == 7
+    assert [catalog.buckets_for(n) for n in (0, 1, 1 << 20, (1 << 20) + 1, 5 << 20)] == [1, 1, 1, 2, 8]
+
+
 def test_reports(town, split_town):
     result = split_town
     metrics = {(r.key, r.value): (r.value_count, r.percentage) for r in reports.metric_profile(result).collect()}

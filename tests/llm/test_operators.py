@@ -540,9 +540,35 @@ def test_contamination(spark):
     assert decontaminate.find_contaminated(docs(spark, rows), table.limit(0)).count() == 0
 
 
-def test_contamination_with_a_large_benchmark(spark, monkeypatch):
+@pytest.fixture
+def no_broadcasts(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_contamination_with_a_large_benchmark(spark, no_broadcasts):
     test_contamination(spark)
+    test_contamination_by_short_items(spark)
+    test_contamination_of_items_with_few_literals(spark)
+
+
+def test_long_texts_are_not_shuffled(spark, no_broadcasts):
+    item = "one item of ten words that stands in long texts"
+    rng = random.Random(8)
+    texts = [" ".join([*(f"w{rng.randrange(10**6)}" for _ in range(20_000)), item, *(["so it goes on"] * 5_000)]) for _ in range(4)]
+    rows = docs(spark, enumerate(texts))
+    bench = spark.createDataFrame([(1, item), (2, "so it goes on " * 10)], "item_id bigint, text string")
+    got = decontaminate.find_contaminated(rows, bench)
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == {(d, i) for d in range(4) for i in (1, 2)}
+    # What the join stores and shuffles are windows: their tokens, not the texts.
+    stored = [f for f in got.inputFiles() if "/maybe/" in f]
+    found = spark.read.parquet(*stored)
+    assert max(r[0] for r in found.select(F.size("_window.tokens")).collect()) == decontaminate.WINDOW
+    wanted = 4 * (20_000 - 7 + 3)  # both items' windows; few others come by chance
+    assert wanted <= found.count() < wanted + 8_000
 
 
 def found_items(spark, texts, items):

@@ -10,8 +10,9 @@ Windows that are nearly all placeholders (titles, tables, sums) would meet by ch
 their values. Items shorter than a window are looked for as windows of their own length.
 
 The hash of a window is built by doubling (1, 2, 4, 8 tokens), so its cost does not grow with the
-window. The windows of the benchmark are broadcast if they have at most BROADCAST_WINDOWS rows;
-otherwise both sides are shuffled by window.
+window. The windows of the benchmark are broadcast if they have at most BROADCAST_WINDOWS rows. A larger
+benchmark is joined by shuffling: a Bloom filter of its windows drops nearly all windows of documents before, the
+others carry their own tokens alone, never the text, and windows that many documents share are dealt out.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayloom.llm.common import scratch, stored, text_of
+from wayloom.operators.bloom import bits_for, bloom_filter, may_be_in
+from wayloom.operators.skew import salted_join
 
 #: Tokens of a window, a power of two.
 WINDOW = 8
@@ -115,6 +118,24 @@ def _place(position: str, lengths: list[int]) -> Column:
     return F.col(position) - sum(before, F.lit(0))
 
 
+def _own_tokens(position: str, lengths: list[int]) -> Column:
+    """Where the window at a position of _windows begins, and its tokens; lengths descend."""
+    found, before = F.lit(None), F.lit(0)
+    for length in lengths:
+        at, before = F.col(position) - before, before + _count(F.lit(length))
+        window = F.struct(at.alias("at"), F.slice("_tokens", at + 1, F.lit(length)).alias("tokens"))
+        found = F.coalesce(found, F.when(F.col(position) < before, window))
+    return found
+
+
+def _shuffled(each: DataFrame, windows: DataFrame, lengths: list[int], count: int, base: str) -> DataFrame:
+    """The windows of documents that are windows of items as well, each with `_window`, its place and tokens."""
+    bits = bits_for(count)
+    maybe = each.where(may_be_in(bloom_filter(windows, ["w"], bits), [F.col("w")], bits))
+    maybe = stored(maybe.select("doc_id", "text_hash", "w", _own_tokens("_position", lengths).alias("_window")), f"{base}/maybe")
+    return salted_join(maybe, windows, ["w"], "inner", [F.col("text_hash"), F.col("_window.at")])
+
+
 def _benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
     """Windows of the items, and their lengths in tokens; items of fewer than WINDOW tokens are one window.
 
@@ -152,9 +173,8 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, least_coverage: flo
     with a null id are left out. Other columns are not looked at.
     """
     windows, lengths = _benchmark_windows(benchmark)
-    windows = stored(windows, f"{scratch(docs.sparkSession)}/windows")
-    if windows.count() <= BROADCAST_WINDOWS:
-        windows = F.broadcast(windows)
+    base = scratch(docs.sparkSession)
+    windows = stored(windows, f"{base}/windows")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(text_of()).alias("text_hash"),
@@ -163,9 +183,14 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, least_coverage: flo
     # The outer form: for the inner one Spark pushes a filter on the size of _windows down to the scan, and
     # with it copies of all that _windows is made of.
     each = _windows(rows, lengths).select("doc_id", "text_hash", "_tokens", F.posexplode_outer("_windows").alias("_position", "w"))
-    met = each.join(windows, "w").withColumn("_at", _place("_position", lengths))
+    if (count := windows.count()) <= BROADCAST_WINDOWS:
+        met = each.join(F.broadcast(windows), "w").withColumn("_at", _place("_position", lengths))
+        own = F.slice("_tokens", F.col("_at") + 1, F.col("length"))
+    else:
+        met = _shuffled(each, windows, lengths, count, base).withColumn("_at", F.col("_window.at"))
+        own = F.col("_window.tokens")
     # Values of the slots: of the item, and of the document at the same place.
-    values = F.arrays_zip(F.col("item_tokens").alias("i"), F.slice("_tokens", F.col("_at") + 1, F.col("length")).alias("d"))
+    values = F.arrays_zip(F.col("item_tokens").alias("i"), own.alias("d"))
     met = met.select(
         "doc_id",
         "text_hash",

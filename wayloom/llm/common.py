@@ -6,7 +6,7 @@ import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,6 +83,31 @@ def give_back_memory() -> None:
         trim(0)
 
 
+def giving_back(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A task over batches that returns its memory at its end."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back_memory()
+
+    return task
+
+
+def giving_back_group(run: Callable[[pa.Table], pa.Table], least_bytes: int = 4 << 20) -> Callable:
+    """A task over one group that returns its memory after groups of some size."""
+
+    def task(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            if table.nbytes >= least_bytes:
+                give_back_memory()
+
+    return task
+
+
 def row_batches(batches: Iterable[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that none holds much more than `most_bytes`; one row may still be longer."""
     for batch in batches:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayloom.llm.common import row_batches, scratch, stored, text_of
+from wayloom.llm.common import giving_back, giving_back_group, row_batches, scratch, stored, text_of
 from wayloom.llm.components import components
 from wayloom.llm.shingles import WordHashes, shingle_sets
 
@@ -52,7 +52,7 @@ def shingle_keys(docs: DataFrame, size: int = SIZE) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, n_shingles bigint, set_key bigint")
+    return rows.mapInArrow(giving_back(run), "doc_id bigint, text_hash bigint, n_shingles bigint, set_key bigint")
 
 
 def _key(shingles: np.ndarray) -> int:
@@ -111,7 +111,7 @@ def _incidence(docs: DataFrame, size: int, blocks: int) -> DataFrame:
             )
 
     rows = docs.select(text_of().alias("text"))
-    return rows.mapInArrow(run, "block int, keys binary, sizes binary, shingles binary, places binary")
+    return rows.mapInArrow(giving_back(run), "block int, keys binary, sizes binary, shingles binary, places binary")
 
 
 def _shared_entries(incidence: DataFrame, row_blocks: int) -> DataFrame:
@@ -154,7 +154,7 @@ def _shared_entries(incidence: DataFrame, row_blocks: int) -> DataFrame:
             }
         )
 
-    return incidence.groupBy("block").applyInArrow(run, "row_block int, set_key bigint, n int, shingle bigint, df int")
+    return incidence.groupBy("block").applyInArrow(giving_back_group(run), "row_block int, set_key bigint, n int, shingle bigint, df int")
 
 
 def _candidates(entries: DataFrame, percent: int) -> DataFrame:
@@ -180,7 +180,7 @@ def _candidates(entries: DataFrame, percent: int) -> DataFrame:
             }
         )
 
-    return entries.groupBy("row_block").applyInArrow(run, "set_key bigint, n int, shingles array<bigint>, prefix int")
+    return entries.groupBy("row_block").applyInArrow(giving_back_group(run), "set_key bigint, n int, shingles array<bigint>, prefix int")
 
 
 def _sized(a: str, b: str, percent: int) -> Column:
@@ -291,7 +291,7 @@ def _block_links(lists: DataFrame, rows: DataFrame, copies: DataFrame, percent:
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "linked": pa.array(linked, pa.int64())})
 
     blocks = left.unionByName(right).groupBy("group", "_i", "_j")
-    return blocks.applyInArrow(run, "a bigint, b bigint, linked bigint")
+    return blocks.applyInArrow(giving_back_group(run), "a bigint, b bigint, linked bigint")
 
 
 class _Product:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayloom.llm.common import SPACE, row_batches, scratch, stored, text_of
+from wayloom.llm.common import SPACE, giving_back, row_batches, scratch, stored, text_of
 
 BATCHES = 4
 FANOUT = 3
@@ -54,7 +54,7 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
             )
 
     rows = docs.select(*_text_hash(), text_of().alias("text"))
-    return rows.mapInArrow(run, "_d1 bigint, _d2 bigint, h1 bigint, h2 bigint")
+    return rows.mapInArrow(giving_back(run), "_d1 bigint, _d2 bigint, h1 bigint, h2 bigint")
 
 
 def _text_hash() -> list:
@@ -137,4 +137,4 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
             )
 
     shape = rows.select("doc").schema.add("kept", "string").add("n_lines", "long").add("n_dropped", "long")
-    return joined.mapInArrow(run, shape)
+    return joined.mapInArrow(giving_back(run), shape)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from wayloom.llm.common import row_batches, text_of
+from wayloom.llm.common import giving_back, row_batches, text_of
 
 #: About so many labelled rows are learned from, and so many terms at most.
 SAMPLE_ROWS = 30_000
@@ -204,7 +204,7 @@ def _terms(rows: DataFrame) -> DataFrame:
                     counts = {}
         yield out(counts)
 
-    counted = rows.select("text", "toxic").mapInArrow(run, "term string, toxic bigint, clean bigint")
+    counted = rows.select("text", "toxic").mapInArrow(giving_back(run), "term string, toxic bigint, clean bigint")
     return counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -219,7 +219,7 @@ def _featured(rows: DataFrame, terms: dict[str, float], carried: list[str]) -> D
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "f"])
 
     shape = rows.select(*carried).schema.add("f", ArrayType(DoubleType()))
-    return rows.select(*carried, "text").mapInArrow(run, shape)
+    return rows.select(*carried, "text").mapInArrow(giving_back(run), shape)
 
 
 def learn(docs: DataFrame, labels: DataFrame, training: Column, sample_rows: int = SAMPLE_ROWS) -> tuple[dict, list]:

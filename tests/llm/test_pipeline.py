@@ -12,7 +12,7 @@ import corpus_pipeline as pipeline
 from wayloom.llm import queries
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "embeddings", "pages", "benchmark", "labels")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @pytest.fixture(scope="module")

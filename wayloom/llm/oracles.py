@@ -13,7 +13,7 @@ def _text(value: str) -> str:
 
 
 def secret_scan() -> str:
-    """Matches and what lies between them give the positions; parts meet in scopes of two blocks."""
+    """Matches and what lies between them give the positions; parts meet by the gap between them."""
     found = " UNION ALL ".join(
         f"""SELECT row_no, {rank} AS rank, unnest(range(len(whole))) AS i, unnest(list_resize(gap, len(whole))) AS gap,
         unnest(whole) AS whole, unnest(judged) AS judged FROM (SELECT row_no,
@@ -28,13 +28,11 @@ def secret_scan() -> str:
     kinds(rank, kind, role, strong, least) AS (VALUES {kinds}),
     found AS ({found}),
     placed AS (SELECT row_no, rank, whole, judged, sum(gap + whole) OVER (PARTITION BY row_no, rank ORDER BY i) AS stop FROM found),
-    parts AS (SELECT row_no, rank, kind, role, strong, stop - whole AS start, stop, (stop - whole) // {secrets.SCOPE} AS block
+    parts AS (SELECT row_no, rank, kind, role, strong, stop - whole AS start, stop
       FROM placed JOIN kinds USING (rank) WHERE judged >= least),
-    scopes AS (SELECT row_no, role, block AS scope FROM parts UNION SELECT row_no, role, block - 1 FROM parts),
-    linked AS (SELECT DISTINCT a.row_no, a.scope FROM scopes a JOIN scopes b USING (row_no, scope)
-      WHERE a.role = 'secret' AND b.role <> 'secret'),
-    kept AS (SELECT * FROM parts p WHERE strong OR EXISTS (SELECT 1 FROM linked l
-      WHERE l.row_no = p.row_no AND l.scope IN (p.block, p.block - 1))),
+    kept AS (SELECT * FROM parts p WHERE strong OR EXISTS (SELECT 1 FROM parts q
+      WHERE q.row_no = p.row_no AND (q.role = 'secret') <> (p.role = 'secret')
+      AND q.start <= p.stop + {secrets.SCOPE} AND q.stop >= p.start - {secrets.SCOPE})),
     listed AS (SELECT row_no, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
       count(*) FILTER (kind = 'hex') AS n_hex,
       string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, rank) FILTER (strong) AS base,

@@ -2,11 +2,11 @@
 
 Strong spans speak for themselves (assignments to secret names, access identifiers, long hex runs).
 Weak candidates - user or client names, random-looking strings, endpoints - are parts of a
-credential. They are joined by interval within a scope: two parts belong together when they start in
-the same or in neighbouring blocks of SCOPE code points. A weak candidate is reported only
-when a secret and an identifier, or a secret and an endpoint, meet in one of its scopes.
-The interval join runs over the row's own parts, on scope numbers, so it needs no shuffle and never
-forms pairs.
+credential. They are joined by interval within a scope: a part's scope reaches SCOPE code points beyond both of
+its ends. A weak candidate is reported only when a part that completes it touches its scope: an identifier or an
+endpoint for a secret, a secret for either of those. Only the gap between the two counts, not where they stand.
+The interval join runs over the row's own parts, so it needs no shuffle and never forms pairs: spans of one kind
+don't overlap, so of those that begin before a scope's end the last one reaches furthest, and halving finds it.
 
 Positions: Spark gives the matches of a pattern, and by splitting at it what lies between them; both in
 the same order. Running sums of their lengths in code points are the spans.
@@ -15,13 +15,16 @@ the same order. Running sums of their lengths in code points are the spans.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayloom.functions.binding import bind, halvings, leading, let, pick
+from wayloom.functions.lines import running_totals
 from wayloom.llm.common import text_of
 
-#: Code points of a block; a scope is two neighbouring blocks.
+#: Code points that a part's scope reaches beyond its ends.
 SCOPE = 256
 
 
@@ -67,28 +70,29 @@ def _spans(kind: Kind, rank: int) -> Column:
     judged = whole
     if kind.group:
         judged = F.transform(F.regexp_extract_all("_text", pattern, F.lit(kind.group)), F.char_length)
-    cells = F.arrays_zip(between.alias("gap"), whole.alias("n"), judged.alias("m"))
+
+    def placed(found: Column) -> Column:
+        n = F.size(found["n"])
+        each = F.zip_with(F.slice(found["gap"], 1, n), found["n"], lambda gap, own: (gap + own).cast("double"))
+        ends = F.transform(F.slice(let(each, running_totals), 2, n), lambda end: end.cast("int"))
+        cells = F.arrays_zip(ends.alias("end"), found["n"].alias("n"), found["m"].alias("m"))
+        span = lambda c: F.struct((c["end"] - c["n"]).alias("start"), F.lit(rank).alias("rank"), c["end"].alias("end"))
+        return F.transform(F.filter(cells, lambda c: c["m"] >= kind.least), span)
+
     none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+    found = F.struct(between.alias("gap"), whole.alias("n"), judged.alias("m"))
+    return let(found, lambda f: F.when(F.size(f["n"]) > 0, placed(f)).otherwise(none))
 
-    def step(state: Column, cell: Column) -> Column:
-        begin = state["at"] + cell["gap"]
-        end = begin + F.coalesce(cell["n"], F.lit(0))
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
-        kept = F.coalesce(cell["m"], F.lit(-1)) >= kind.least
-        spans = F.when(kept, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
 
-    found = F.aggregate(cells, start, step, lambda s: s["spans"])
-    return F.when(F.size(whole) > 0, found).otherwise(none)
+def _completed(kind: Kind, part: Column) -> Column:
+    """A part of another role, such that the two can be used together, touches the part's scope."""
 
+    def near(rank: int) -> Column:
+        spans = F.col(f"_{rank}")
+        before = leading(F.col(f"_steps{rank}"), lambda i: pick(spans, i)["start"] <= part["end"] + SCOPE)
+        return let(before, lambda n: (n > 0) & F.coalesce(pick(spans, n - 1)["end"] >= part["start"] - SCOPE, F.lit(False)))
 
-def _roles(spans: str, role: str) -> Column:
-    """Scopes that hold a part of the role: each part lies in the scopes of its block and of the one before."""
-    ranks = [i for i, k in enumerate(KINDS) if k.role == role]
-    own = F.filter(spans, lambda s: s["rank"].isin(ranks))
-    blocks = F.transform(own, lambda s: (s["start"] / SCOPE).cast("int"))
-    return F.array_union(blocks, F.transform(blocks, lambda b: b - 1))
+    return reduce(lambda a, b: a | b, (near(i) for i, k in enumerate(KINDS) if (k.role == "secret") != (kind.role == "secret")))
 
 
 def _listed(spans: Column) -> Column:
@@ -105,19 +109,12 @@ def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     id; a null or empty text has no spans. Other columns are not looked at.
     """
     rows = docs.select(F.col(id_column), text_of(text_column).alias("_text"))
-    each = {f"_{i}": _spans(k, i) for i, k in enumerate(KINDS)}
-    rows = rows.withColumns(each)
-    strong = [f"_{i}" for i, k in enumerate(KINDS) if k.strong]
-    weak = [f"_{i}" for i, k in enumerate(KINDS) if not k.strong]
-    rows = rows.withColumn("_base", F.array_sort(F.concat(*strong))).withColumn("_weak", F.concat(*weak))
-    rows = rows.withColumn("_parts", F.concat("_base", "_weak"))
-    partners = F.array_union(_roles("_parts", "id"), _roles("_parts", "endpoint"))
-    rows = rows.withColumn("_linked", F.array_intersect(_roles("_parts", "secret"), partners))
-    block = lambda s: (s["start"] / SCOPE).cast("int")
-    linked = F.filter(
-        "_weak", lambda s: F.array_contains("_linked", block(s)) | F.array_contains("_linked", block(s) - 1)
-    )
-    return rows.select(id_column, "_text", "_base", F.array_sort(F.concat("_base", linked)).alias("_spans"))
+    rows = bind(rows, **{f"_{i}": _spans(k, i) for i, k in enumerate(KINDS)})
+    rows = bind(rows, **{f"_steps{i}": halvings(F.size(f"_{i}")) for i in range(len(KINDS))})
+    strong = [F.col(f"_{i}") for i, k in enumerate(KINDS) if k.strong]
+    linked = [F.filter(f"_{i}", partial(_completed, k)) for i, k in enumerate(KINDS) if not k.strong]
+    base, spans = F.array_sort(F.concat(*strong)), F.array_sort(F.concat(*strong, *linked))
+    return rows.select(id_column, "_text", base.alias("_base"), spans.alias("_spans"))
 
 
 def digest(found: DataFrame, id_column: str = "doc_id") -> DataFrame:

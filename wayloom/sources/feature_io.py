@@ -74,6 +74,11 @@ class FeatureIO:
             return self.input_path
         return f"{self.output_path_prefix}_{stage.value}"
 
+    @property
+    def changes_path(self) -> str:
+        """Where keys of changed lines are kept, which later runs don't need."""
+        return f"{self.output_path_prefix}_changes"
+
     def _hook_path(self, stage: Stage) -> str:
         return self.input_path if stage == Stage.read_input else self.output_path_prefix
 

@@ -3,8 +3,9 @@
 Vectors are integers: floor(scale * x). With one more component, sqrt(R^2 - |x|^2) for rows (R the
 longest row) and 0 for queries, the inner product falls as the distance grows, so the k largest
 products are the k nearest rows. Distances of every row to many pivots are computed once, with the
-block; the largest |d(query, pivot) - d(row, pivot)| is a lower bound of the distance. A query
-evaluates the rows of a block by rising bound and stops when the next bound exceeds its k-th
+block. Rows of a block are grouped by their nearest pivot; the largest gap between a query's distance to a
+pivot and the range of a group's distances to it is a lower bound of the distance to all of the group.
+Queries evaluate groups together, by rising bound, and leave out those whose bound exceeds their k-th
 distance; so results are exact. Pivots come from a bounded sample; every row is indexed.
 """
 
@@ -26,6 +27,8 @@ BLOCK_ROWS = 8192
 BLOCK_QUERIES = 1024
 #: Candidates evaluated before the first look at the stopping rule; doubled after each look.
 STEP = 512
+#: Queries that look together.
+AT_ONCE = 128
 MOST = 2**63 - 1
 _BLOCK = "dim int, ids binary, vectors binary"
 
@@ -101,32 +104,61 @@ def _search(
     p2 = (pivots**2).sum(1)
     # |(x, lift) - (p, 0)|^2 = |x|^2 - 2 x p + |p|^2 + R^2 - |x|^2
     row_to = np.sqrt(np.maximum(reach2 - 2 * rows @ pivots.T + p2, 0.0))
+    # Rows by their nearest pivot; of a group the least and largest distances to all pivots.
+    nearest = row_to.argmin(axis=1) if len(pivots) else np.zeros(len(rows), dtype=np.int64)
+    order = np.argsort(nearest, kind="stable")
+    rows, ids = rows[order], ids[order]
+    cuts = np.append(np.unique(nearest[order], return_index=True)[1], len(rows))
+    low, high = (f.reduceat(row_to[order], cuts[:-1], axis=0) for f in (np.minimum, np.maximum))
     q2 = (queries**2).sum(1)
     query_to = np.sqrt(np.maximum(q2[:, None] - 2 * queries @ pivots.T + p2, 0.0))
     exact_queries, exact_rows = _exact(queries, rows)
-    for i, q in enumerate(exact_queries):
-        bound = np.abs(row_to - query_to[i]).max(axis=1) if len(pivots) else np.zeros(len(rows))
-        order = np.argsort(bound)
-        slack = 1e-6 * (1.0 + np.sqrt(q2[i] + reach2))
-        best: list[tuple[int, int]] = []  # (-score, vec_id)
-        start, step = 0, STEP
-        while start < len(order):
-            if len(best) == k:
-                # The k-th distance; a row whose bound is larger scores less.
-                limit = np.sqrt(max(0.0, float(q2[i] + reach2 + 2 * best[-1][0])))
-                if bound[order[start]] > limit + slack:
-                    break
-            some = order[start : start + step]
-            start, step = start + step, 2 * step
-            scores = exact_rows[some] @ q
-            good = ids[some] != query_ids[i]
-            if len(best) == k:
-                good &= scores >= -best[-1][0]
-            elif good.sum() > k:
-                good &= scores >= np.sort(scores[good])[-k]
-            found = zip(scores[good].tolist(), ids[some][good].tolist(), strict=True)
-            best = sorted([*best, *((-int(s), v) for s, v in found)])[:k]
-        yield int(query_ids[i]), [v for _, v in best], [-s for s, _ in best]
+    for at in range(0, len(queries), AT_ONCE):
+        some = slice(at, at + AT_ONCE)
+        to = query_to[some, None, :]
+        bound = np.maximum(low - to, to - high).max(axis=2, initial=0.0)
+        best = _search_groups(exact_queries[some], query_ids[some], q2[some] + reach2, exact_rows, ids, bound, cuts, k)
+        for query, found in zip(query_ids[some].tolist(), best, strict=True):
+            yield query, [v for _, v in found], [-s for s, _ in found]
+
+
+def _search_groups(
+    queries: np.ndarray, query_ids: np.ndarray, reach2: np.ndarray, rows: np.ndarray, ids: np.ndarray, bound: np.ndarray,
+    cuts: np.ndarray, k: int,
+) -> list[list[tuple[int, int]]]:
+    """Of some queries the k best (-score, vec_id), from the groups of rows whose bounds don't exceed their k-th distances."""
+    slack = 1e-6 * (1.0 + np.sqrt(reach2))
+    best: list[list[tuple[int, int]]] = [[] for _ in queries]
+    limit = np.full(len(queries), np.inf)  # the k-th distance; a row whose bound is larger scores less
+    least: list = [-np.inf] * len(queries)  # the k-th score
+    near_first = np.argsort(bound.sum(axis=0))
+    ahead = np.cumsum((cuts[1:] - cuts[:-1])[near_first])
+    start, step = 0, STEP
+    while start < len(near_first):
+        # So many groups as hold the next `step` candidates.
+        stop = max(start + 1, int(np.searchsorted(ahead, step)))
+        groups, start, step = near_first[start:stop], stop, int(ahead[stop - 1]) + 2 * step
+        asked = np.flatnonzero(bound[:, groups].min(axis=1) <= limit + slack)
+        if not len(asked):
+            continue
+        at = np.concatenate([np.arange(cuts[g], cuts[g + 1]) for g in groups])
+        scores, own = queries[asked] @ rows[at].T, ids[at]
+        good = own != query_ids[asked, None]
+        scores[~good] = -np.inf  # the query's own rows
+        kth = np.array([least[i] for i in asked], dtype=scores.dtype)
+        if len(at) > k:
+            kth = np.maximum(kth, np.partition(scores, -k, axis=1)[:, -k])
+        good &= scores >= kth[:, None]
+        for row in np.flatnonzero(good.any(axis=1)).tolist():
+            i, found = int(asked[row]), np.flatnonzero(good[row])
+            if len(found) > k:
+                found = found[np.lexsort((own[found], -scores[row, found]))[:k]]
+            new = zip(scores[row, found].tolist(), own[found].tolist(), strict=True)
+            best[i] = sorted([*best[i], *((-int(s), v) for s, v in new)])[:k]
+            if len(best[i]) == k:
+                least[i] = -best[i][-1][0]
+                limit[i] = np.sqrt(max(0.0, float(reach2[i] - 2 * least[i])))
+    return best
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 20, pivots: int = PIVOTS) -> DataFrame:

@@ -113,7 +113,7 @@ def cut(docs: DataFrame, window: int, paths: tuple[str, str], with_ids: bool) ->
         encoder, part = byte_bpe(*paths), TaskContext.get().partitionId()
         seen = np.zeros(window + 1, dtype=np.int64)
         end = np.array([END_ID], dtype="<u4").tobytes()
-        for batch in row_batches(batches, 4 << 20):
+        for batch in row_batches(batches, 1 << 20):
             rows = []
             encoded = encoder.batch_ids(batch.column(1).to_pylist())
             for doc, own in zip(batch.column(0).to_pylist(), encoded, strict=True):
